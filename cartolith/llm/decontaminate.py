@@ -7,70 +7,82 @@ overlap if some stretch of `window` words around it (the whole item, if shorter)
 `similarity` of its places. So passages are found in spite of replaced words, also ones that lie
 within a seed's span.
 
-Words are lower-cased and split at ASCII white space. Defined cases: null or empty texts and items
+Words are lower-cased and split at ASCII white space; an empty word at a text's ends counts as one. Defined cases: null or empty texts and items
 of fewer words than the shortest mask's span have no seeds and match nothing; null ids are reported
 as null; repeated rows give one result row; empty tables give an empty result. Only the named
 columns are read.
 """
 
-import math
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACE, load
+from .common import SPACE, load, saved
 
 #: Fixed masks of weight six; 1 counts, 0 is ignored.
 MASKS = ("11101011", "1101100101")
-#: The seeds of the benchmark go to every task only up to this many rows (about 400 bytes each).
-MOST_SEEDS = 500_000
+#: Tables of at most this many rows (seeds, hits: 32 bytes; items: their text) go to every task.
+MOST_ROWS = 500_000
+
 
+def tokens(text: Column) -> Column:
+    """The lower-case words. Only the first or last can be empty, as white space is cut off by runs."""
+    return F.split(F.lower(F.coalesce(text, F.lit(""))), SPACE)
 
-def word_hashes(text: Column) -> Column:
-    """A 64-bit hash of each lower-case word."""
-    tokens = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), SPACE), lambda t: t != "")
-    return F.transform(tokens, lambda t: F.xxhash64(t))
 
+def seeds(rows: DataFrame, words: str) -> DataFrame:
+    """rows with a row for each mask and position: `at` (position) and `seed`.
 
-def _spans(hashes: Column, mask: str, tag: int) -> Column:
-    """The mask's hash at each position, in order."""
-    at = F.sequence(F.lit(0), F.size(hashes) - len(mask))
-    seed = F.transform(at, lambda i: F.xxhash64(F.lit(tag), *[F.get(hashes, i + k) for k, c in enumerate(mask) if c == "1"]))
-    return F.when(F.size(hashes) >= len(mask), seed).otherwise(F.array().cast("array<bigint>"))
+    A generator gives the positions, and plain element access the words at a mask's places: all of
+    it is compiled into one loop, which arrays of functions wouldn't be. Positions at which a mask
+    doesn't fit have no seed.
+    """
+    at = rows.select("*", F.posexplode(words).alias("at", "__word")).drop("__word")
 
+    def seed(n: int, mask: str) -> Column:
+        places = [F.get(F.col(words), F.col("at") + k) for k, c in enumerate(mask) if c == "1"]
+        return F.when(F.col("at") + len(mask) <= F.size(words), F.xxhash64(F.lit(n), *places))
 
-def seeds(rows: DataFrame, hashes: str) -> DataFrame:
-    """rows with a row for each mask and position: `mask`, `at` (position), `seed`."""
-    lists = F.array(*[F.struct(F.lit(n).alias("mask"), _spans(F.col(hashes), m, n).alias("all")) for n, m in enumerate(MASKS)])
-    return rows.select("*", F.explode(lists).alias("own")).select(*rows.columns, F.col("own.mask").alias("mask"), F.posexplode("own.all").alias("at", "seed"))
+    return at.select("*", F.explode(F.array(*[seed(n, m) for n, m in enumerate(MASKS)])).alias("seed")).filter("seed is not null")
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text", window: int = 20, similarity: float = 0.8) -> DataFrame:
     """doc_id, item_id, hits, matched (most words that agree), item_words: one row for each pair
     that overlaps.
 
-    Hits are found by a hash join of 64-bit numbers. The benchmark side, one row a seed with the
-    item's hashes, is broadcast only if counted to be at most MOST_SEEDS rows; a larger one is
-    joined by shuffle.
+    Hits are found by a hash join of 64-bit numbers, and travel as (document, item, shift). The
+    benchmark's seeds, and later the hits, are broadcast only if counted to be at most MOST_ROWS;
+    more are joined by shuffle. Texts are read again for the documents that have hits.
     """
-    items = benchmark.select(F.col(item_id).alias("item_id"), word_hashes(F.col(text)).alias("item"))
-    probes = seeds(items, "item").select("item_id", "item", F.col("mask").alias("item_mask"), F.col("at").alias("item_at"), F.col("seed").alias("item_seed")).distinct()
-    few = probes.limit(MOST_SEEDS + 1).count() <= MOST_SEEDS
-    side = F.broadcast(probes) if few else probes
-    own = docs.select(F.col(doc_id).alias("doc_id"), word_hashes(F.col(text)).alias("doc"))
-    hits = seeds(own, "doc").join(side, F.col("seed") == F.col("item_seed"))
+    items = benchmark.select(F.col(item_id).alias("item_id"), tokens(F.col(text)).alias("item"))
+    own = docs.select(F.col(doc_id).alias("doc_id"), tokens(F.col(text)).alias("doc"))
+    probes = seeds(items, "item").select("item_id", F.col("at").alias("item_at"), F.col("seed").alias("item_seed")).distinct()
+    hit = seeds(own, "doc").select("doc_id", "at", "seed").join(_small(probes), F.col("seed") == F.col("item_seed"))
+    hit = hit.select(F.col("doc_id").alias("hit_doc"), F.col("item_id").alias("hit_item"), (F.col("at") - F.col("item_at")).alias("shift"), "item_at")
+    # A doc_id or item_id may be null: every join below takes nulls as equal.
+    hits = saved(hit.groupBy("hit_doc", "hit_item", "shift").agg(F.count("*").alias("hits"), F.array_sort(F.collect_set("item_at")).alias("seeds")), "hits")
+    laid = own.join(_small(hits), F.col("doc_id").eqNullSafe(F.col("hit_doc")))
+    laid = laid.join(_small(items.withColumnRenamed("item_id", "own_item")), F.col("hit_item").eqNullSafe(F.col("own_item")))
     # Places in the document and in the item where the laid-over stretch begins, and its length.
-    shift = F.col("at") - F.col("item_at")
-    d0, i0 = F.greatest(shift, F.lit(0)), F.greatest(-shift, F.lit(0))
+    d0, i0 = F.greatest("shift", F.lit(0)), F.greatest(-F.col("shift"), F.lit(0))
     n = F.least(F.size("doc") - d0, F.size("item") - i0)
-    laid = hits.select("doc_id", "item_id", F.size("item").alias("item_words"), F.zip_with(F.slice("doc", d0 + 1, n), F.slice("item", i0 + 1, n), lambda a, b: (a == b).cast("int")).alias("same"), (F.col("item_at") - i0).alias("seed_at"))
+    same = F.zip_with(F.slice("doc", d0 + 1, n), F.slice("item", i0 + 1, n), lambda a, b: (a == b).cast("int"))
+    laid = laid.filter(n > 0).select("doc_id", "hit_item", "hits", "seeds", F.size("item").alias("item_words"), i0.alias("i0"), same.alias("same"))
     size = F.least(F.lit(window), F.col("item_words"))
     need = F.ceil(F.lit(similarity) * size - 1e-9)
-    first = F.greatest(F.lit(0), F.col("seed_at") - F.lit(window))
-    last = F.least(F.size("same") - size, F.col("seed_at") + F.lit(window))
-    found = F.exists(F.sequence(first, F.greatest(first, last)), lambda k: (k <= last) & (F.aggregate(F.slice("same", k + 1, size), F.lit(0), lambda a, b: a + b) >= need))
-    good = laid.filter((last >= first) & found).withColumn("matched", F.aggregate("same", F.lit(0), lambda a, b: a + b))
-    return good.groupBy("doc_id", "item_id").agg(F.count("*").alias("hits"), F.max("matched").alias("matched"), F.max("item_words").alias("item_words"))
+
+    def agrees(k: Column) -> Column:
+        """The stretch from place k on agrees enough and holds the beginning of a hit."""
+        here = F.exists("seeds", lambda p: (p - F.col("i0") >= k) & (p - F.col("i0") < k + size))
+        return here & (F.aggregate(F.slice("same", k + 1, size), F.lit(0), lambda x, y: x + y) >= need)
+
+    last = F.size("same") - size
+    found = F.exists(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), agrees)
+    good = laid.filter((last >= 0) & found).withColumn("matched", F.aggregate("same", F.lit(0), lambda x, y: x + y))
+    return good.groupBy("doc_id", F.col("hit_item").alias("item_id")).agg(F.sum("hits").alias("hits"), F.max("matched").alias("matched"), F.max("item_words").alias("item_words"))
+
+
+def _small(df: DataFrame) -> DataFrame:
+    return F.broadcast(df) if df.limit(MOST_ROWS + 1).count() <= MOST_ROWS else df
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
@@ -82,6 +94,3 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id"
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document of the corpus that overlaps an item of the benchmark, with the items."""
     return overlaps(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
-
-
-assert all(math.prod(map(int, (m[0], m[-1]))) for m in MASKS), "masks begin and end with a counting place"
