@@ -24,24 +24,24 @@ from pyspark.sql import functions as F
 from .common import load, saved
 
 LOW, HIGH = -(1 << 63), (1 << 63) - 1
-KEYS = ("k1", "k2", "k3")
+KEYS = ("__k1", "__k2", "__k3")
 #: Each round deals a span among up to 1024 intervals.
 PROBE_BITS = 10
 
 
-def sized(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, size, text_crc32 and the three keys of each row, written once: 56 bytes a row."""
+def with_keys(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id and the columns `keep` of each row, with size, text_crc32 and the three keys."""
     body = F.coalesce(F.col(text), F.lit(""))
     raw = body.cast("binary")
-    thin = docs.select(
+    return docs.select(
         F.col(doc_id).alias("doc_id"),
+        *keep,
         (F.octet_length(raw) + F.lit(1)).cast("long").alias("size"),
         F.crc32(raw).alias("text_crc32"),
-        F.xxhash64(body).alias("k1"),
-        F.coalesce(F.col(doc_id).cast("long"), F.lit(LOW)).alias("k2"),
-        F.monotonically_increasing_id().alias("k3"),
+        F.xxhash64(body).alias(KEYS[0]),
+        F.coalesce(F.col(doc_id).cast("long"), F.lit(LOW)).alias(KEYS[1]),
+        F.monotonically_increasing_id().alias(KEYS[2]),
     )
-    return saved(thin, "keys")
 
 
 def splitters(keys: DataFrame, shards: int, tolerance: float = 0.002) -> list[tuple[int, int, int]]:
@@ -103,7 +103,7 @@ def _histogram(keys: DataFrame, spans: list) -> dict[tuple, list[tuple[int, int,
 
 
 def shard_of(bounds: list[tuple[int, int, int]]) -> Column:
-    """The shard of a row of sized(), by comparing its key with the splitters."""
+    """The shard of a row of with_keys(), by comparing its key with the splitters."""
     out = F.lit(0)
     for n, (a, b, c) in enumerate(bounds, 1):
         k1, k2, k3 = (F.col(k) for k in KEYS)
@@ -133,7 +133,7 @@ def numbered(keys: DataFrame, bounds: list[tuple[int, int, int]]) -> DataFrame:
 
 def shard_documents(docs: DataFrame, shards: int = 16, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, size, text_crc32, shard, slot of each row of `docs`."""
-    keys = sized(docs, doc_id, text)
+    keys = saved(with_keys(docs, doc_id, text), "keys")
     return numbered(keys, splitters(keys, shards)).select("doc_id", "size", "text_crc32", "shard", F.col("slot").cast("long").alias("slot"))
 
 
