@@ -43,6 +43,11 @@ def forget(df: DataFrame) -> None:
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def broadcast_if_small(df: DataFrame, rows: int = 500_000) -> DataFrame:
+    """`df` marked for broadcast if it is counted to have at most `rows` rows, else as it is."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def text_or_empty(text: str = "text") -> Column:
     return F.coalesce(F.col(text), F.lit(""))
 

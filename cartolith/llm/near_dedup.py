@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import load, saved, words
+from .common import broadcast_if_small, load, saved, words
 from .components import components
 
 #: Minwise coordinates of a class, and how many of them each level may pick from.
@@ -41,7 +41,7 @@ CROWD = 0.5
 #: Most levels; data of any size reach nodes of NODE classes or crowds before.
 DEPTH = 12
 #: Words known to a worker before it starts anew.
-CACHE = 500_000
+CACHE = 200_000
 
 U = np.uint64
 #: Multipliers and offsets of the minwise functions, from a fixed seed.
@@ -318,11 +318,11 @@ def _emitted(group, c, i, j, far, first, last) -> Iterator[pa.RecordBatch]:
 def confirmed(pairs: DataFrame, docs: DataFrame, n: int, similarity: tuple[int, int], doc_id: str, text: str) -> DataFrame:
     """The pairs whose full sets have 100 * common >= percent * union, with their counts.
 
-    Sets are made anew from the texts of the classes that a pair names, and only for these. One
-    side travels to the other as a row a pair; a task goes through them in order, holding one set.
+    Sets are made anew from the texts of the classes that a pair names, and only for these: texts
+    don't move, unless there are too many such classes to broadcast their ids. One side travels to the other as a row a pair; a task goes through them in order, holding one set.
     """
     up, down = similarity
-    named = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
+    named = saved(pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct(), "named")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = Shingles(n)
@@ -349,7 +349,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, n: int, similarity: tuple[int,
                 yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64())], names=["a", "b"])
 
     texts = docs.select(F.col(doc_id).cast("long").alias("rep"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    full = saved(texts.join(named, "rep", "left_semi").mapInArrow(sets, "rep long, own binary"), "sets")
+    full = saved(texts.join(broadcast_if_small(named), "rep", "left_semi").mapInArrow(sets, "rep long, own binary"), "sets")
     # Each pair meets at the class named by a coin, so that a class with many pairs holds half of them.
     coin = F.pmod(F.xxhash64("a", "b"), F.lit(2)) == 0
     turned = pairs.select(F.when(coin, F.col("a")).otherwise(F.col("b")).alias("a"), F.when(coin, F.col("b")).otherwise(F.col("a")).alias("b"))
