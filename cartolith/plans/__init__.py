@@ -1,6 +1,6 @@
 """The query catalogue. Importing this package registers all queries."""
 
-from . import strings, text_layer  # noqa: F401
+from . import coordinates, strings, text_layer  # noqa: F401
 from .catalog import CATALOGUE
 
 __all__ = ["CATALOGUE"]
