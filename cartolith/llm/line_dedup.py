@@ -11,7 +11,7 @@ with its result; null ids come last; an empty table gives an empty result. Only
 columns are read.
 """
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import load, saved
@@ -19,16 +19,16 @@ from .common import load, saved
 SPAN = 3
 
 
-def _windows(lines: Column) -> Column:
-    """(position, two independent 64-bit hashes) of each window that isn't blank."""
-    at = F.sequence(F.lit(0), F.size(lines) - SPAN)
+def _windows(rows: DataFrame) -> DataFrame:
+    """doc_id, ver, pos and two independent 64-bit hashes of each window of `lines` that isn't blank.
 
-    def window(i: Column) -> Column:
-        part = [F.get(lines, i + k) for k in range(SPAN)]
-        blank = F.trim(F.concat(*part)) == ""
-        return F.struct(i.alias("pos"), F.xxhash64(*part).alias("h1"), F.xxhash64(F.lit(1), *part).alias("h2"), blank.alias("blank"))
-
-    return F.when(F.size(lines) >= SPAN, F.filter(F.transform(at, window), lambda w: ~w["blank"]))
+    The lines are a column that the generator passes on, so a text is split once, and element
+    access is compiled into the generator's loop.
+    """
+    part = [F.get(F.col("lines"), F.col("pos") + k) for k in range(SPAN)]
+    at = rows.select("doc_id", "ver", "lines", F.posexplode("lines").alias("pos", "line")).filter(F.col("pos") + SPAN <= F.size("lines"))
+    blank = F.trim(F.concat(*part)) == ""
+    return at.filter(~blank).select("doc_id", "ver", "pos", F.xxhash64(*part).alias("h1"), F.xxhash64(F.lit(1), *part).alias("h2"))
 
 
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -39,7 +39,7 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     """
     base = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("ver"))
     lines = F.split(F.col("text"), "\n", -1)
-    seen = saved(base.select("doc_id", "ver", F.explode(_windows(lines)).alias("w")).select("doc_id", "ver", "w.pos", "w.h1", "w.h2"), "windows")
+    seen = saved(_windows(base.select("doc_id", "ver", lines.alias("lines"))), "windows")
     key = F.struct(F.col("doc_id").isNull().alias("n"), F.coalesce("doc_id", F.lit(0)).alias("d"), "ver", "pos")
     first = seen.groupBy("h1", "h2").agg(F.min(key).alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
     later = seen.join(first, ["h1", "h2"]).filter(key != F.col("first"))
