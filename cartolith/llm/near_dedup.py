@@ -9,10 +9,11 @@ Nodes of few classes are compared exhaustively, by the Hamming distance of 256-b
 ones branch on. A node that hardly shrinks is a crowd of near copies: it isn't branched but laid
 out in tiles, each of which compares two blocks of it.
 
-Sketches only propose. Links are confirmed on full sets. Where a class has many proposals in a
-node, the nearest are confirmed first; then, in further rounds, those of the others that don't lie
-in its component yet, until none is left: no partner is cut off, and a crowd of n near copies costs
-about n confirmations.
+Sketches only propose. Links are confirmed on full sets: in nodes where every class has few
+proposals, pair by pair; in the others all full sets of the classes with proposals are brought
+together, their common shingles counted for one class against all others at a time, and a
+spanning forest of the links is given back. So no partner is cut off, a crowd of n near copies costs
+about n rows, and no pairs of a crowd are listed.
 
 Defined cases: null or empty texts, and texts of white space, have an empty set, link with nothing
 and are kept; texts of fewer words than a shingle are one shingle; rows that share a doc_id are one
@@ -200,28 +201,21 @@ def _close(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.bitwise_count(x ^ y).sum(-1, dtype=np.int16)
 
 
-def proposals(nodes: DataFrame, reach: int, first: int, last: int, labels: DataFrame | None) -> DataFrame:
-    """(a, b) pairs of classes whose sketches differ in at most `reach` bits in some node and of
-    which one is among the other's partners number first ... last - 1 by nearness; given labels
-    (vertex, component), only pairs of different components. a < b. Rows of null a and b name, in
-    `path`, the nodes where some class has more partners.
+def proposals(nodes: DataFrame, reach: int) -> DataFrame:
+    """Rows (a, b, null, null): pairs of classes, a < b, whose sketches differ in at most `reach`
+    bits, from nodes in which no class has more than FEW such partners. Rows (a, null, path, tile):
+    the classes with partners in the other nodes.
 
     Each task holds one node, or tile, at a time: at most 2 * NODE sketches.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for path, tile in _groups(batches):
-            yield from _pairs(path, tile, reach, first, last)
-
-    rows = nodes
-    if labels is None:
-        rows = rows.withColumn("label", F.lit(None).cast("long"))
-    else:
-        rows = rows.join(labels.select("vertex", F.col("component").alias("label")), F.col("rep") == F.col("vertex"), "left").drop("vertex")
+        for group, columns in _groups(batches):
+            yield from _pairs(group, columns, reach)
+
     n = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cols = ["path", "tile", "side", "rep", "sketch", "label"]
-    dealt = rows.select(*cols).repartition(n, "path", "tile").sortWithinPartitions("path", "tile")
-    return dealt.mapInArrow(work, "a long, b long, path long").distinct()
+    dealt = nodes.select("path", "tile", "side", "rep", "sketch").repartition(n, "path", "tile").sortWithinPartitions("path", "tile")
+    return dealt.mapInArrow(work, "a long, b long, path long, tile int").distinct()
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, dict]]:
@@ -233,10 +227,8 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, dic
         part = t.slice(0, upto)
         path, tile = (part[c].to_numpy() for c in ("path", "tile"))
         new = np.concatenate([[True], (path[1:] != path[:-1]) | (tile[1:] != tile[:-1])])
-        rep = part["rep"].to_numpy()
-        label = part["label"].fill_null(-1).to_numpy() if part["label"].null_count < len(rep) else np.full(len(rep), -1)
         sketch = np.frombuffer(b"".join(part["sketch"].to_pylist()), np.uint64).reshape(-1, 4)
-        return np.cumsum(new) - 1, {"path": path, "rep": rep, "side": part["side"].to_numpy(), "label": label, "sketch": sketch}
+        return np.cumsum(new) - 1, {"path": path, "tile": tile, "rep": part["rep"].to_numpy(), "side": part["side"].to_numpy(), "sketch": sketch}
 
     for b in batches:
         if not b.num_rows:
@@ -255,74 +247,63 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, dic
 
 #: Groups up to this size are compared by shifts over all rows at once.
 SMALL = 24
+#: Partners up to which a node's classes are confirmed pair by pair.
+FEW = 4
 
 
-def _pairs(group: np.ndarray, c: dict, reach: int, first: int, last: int) -> Iterator[pa.RecordBatch]:
+def _pairs(group: np.ndarray, c: dict, reach: int) -> Iterator[pa.RecordBatch]:
     size = np.bincount(group)
     small = size[group] <= SMALL
     rows = np.flatnonzero(small)
     if len(rows):
-        g, i, j, far = group[rows], [], [], []
+        g, i, j = group[rows], [], []
         for shift in range(1, int(size[size <= SMALL].max())):
             x = np.flatnonzero(g[shift:] == g[:-shift])
             if not len(x):
                 break
-            d = _close(c["sketch"][rows[x]], c["sketch"][rows[x + shift]])
-            ok = d <= reach
+            ok = _close(c["sketch"][rows[x]], c["sketch"][rows[x + shift]]) <= reach
             i.append(rows[x[ok]])
             j.append(rows[x[ok] + shift])
-            far.append(d[ok])
         if i:
-            yield from _emitted(group, c, np.concatenate(i), np.concatenate(j), np.concatenate(far), first, last)
+            yield from _emitted(group, c, np.concatenate(i), np.concatenate(j))
     starts = np.concatenate([[0], np.cumsum(size)])
     for n in np.flatnonzero(size > SMALL):
         a, b = starts[n], starts[n + 1]
         s = c["sketch"][a:b]
-        i, j, far = [], [], []
+        i, j = [], []
         for at in range(0, b - a, 256):
-            d = _close(s[at : at + 256, None], s[None])
-            x, y = np.nonzero(d <= reach)
+            x, y = np.nonzero(_close(s[at : at + 256, None], s[None]) <= reach)
             ok = y > x + at
             i.append(a + at + x[ok])
             j.append(a + y[ok])
-            far.append(d[x[ok], y[ok]])
-        yield from _emitted(group, c, np.concatenate(i), np.concatenate(j), np.concatenate(far), first, last)
+        yield from _emitted(group, c, np.concatenate(i), np.concatenate(j))
 
 
-def _emitted(group, c, i, j, far, first, last) -> Iterator[pa.RecordBatch]:
-    side, label, rep = c["side"], c["label"], c["rep"]
+def _emitted(group: np.ndarray, c: dict, i: np.ndarray, j: np.ndarray) -> Iterator[pa.RecordBatch]:
+    side, rep = c["side"], c["rep"]
     ok = (rep[i] != rep[j]) & ((side[i] != side[j]) | (side[i] < 0))
-    ok &= (label[i] != label[j]) | (label[i] < 0)
-    i, j, far = i[ok], j[ok], far[ok]
+    i, j = i[ok], j[ok]
     if not len(i):
         return
-    one, two = np.concatenate([i, j]), np.concatenate([j, i])
-    far = np.concatenate([far, far])
-    order = np.lexsort((rep[two], far, one))
-    one, two = one[order], two[order]
-    start = np.concatenate([[True], one[1:] != one[:-1]])
-    place = np.arange(len(one)) - np.maximum.accumulate(np.where(start, np.arange(len(one)), 0))
-    keep = (place >= first) & (place < last)
-    a, b = rep[one[keep]], rep[two[keep]]
+    partners = np.bincount(np.concatenate([i, j]), minlength=len(rep))
+    most = np.zeros(group[-1] + 1, np.int64)
+    np.maximum.at(most, group, partners)
+    few = most[group[i]] <= FEW
+    a, b = rep[i[few]], rep[j[few]]
     if len(a):
-        both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1]), pa.nulls(len(both), pa.int64())], names=["a", "b", "path"])
-    more = np.unique(c["path"][one[place >= last]])
-    if len(more):
-        yield pa.RecordBatch.from_arrays([pa.nulls(len(more), pa.int64()), pa.nulls(len(more), pa.int64()), pa.array(more)], names=["a", "b", "path"])
+        none = [pa.nulls(len(a), pa.int64()), pa.nulls(len(a), pa.int32())]
+        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), *none], names=["a", "b", "path", "tile"])
+    crowd = np.flatnonzero((partners > 0) & (most[group] > FEW))
+    if len(crowd):
+        yield pa.RecordBatch.from_arrays([pa.array(rep[crowd]), pa.nulls(len(crowd), pa.int64()), pa.array(c["path"][crowd]), pa.array(c["tile"][crowd])], names=["a", "b", "path", "tile"])
 
 
 # ---- confirmation ----------------------------------------------------------------------------
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, n: int, similarity: tuple[int, int], doc_id: str, text: str) -> DataFrame:
-    """The pairs whose full sets have 100 * common >= percent * union, with their counts.
-
-    Sets are made anew from the texts of the classes that a pair names, and only for these: texts
-    don't move, unless there are too many such classes to broadcast their ids. One side travels to the other as a row a pair; a task goes through them in order, holding one set.
-    """
-    up, down = similarity
-    named = saved(pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct(), "named")
+def full_sets(named: DataFrame, docs: DataFrame, n: int, doc_id: str, text: str) -> DataFrame:
+    """(rep, own) of the classes in `named` (rep), made anew from their texts. Texts don't move,
+    unless there are too many classes to broadcast their ids."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = Shingles(n)
@@ -331,6 +312,15 @@ def confirmed(pairs: DataFrame, docs: DataFrame, n: int, similarity: tuple[int,
                 b = whole.slice(at, 256)
                 yield pa.RecordBatch.from_arrays([b["rep"], pa.array([find(t).tobytes() for t in b["text"].to_pylist()], pa.binary())], names=["rep", "own"])
 
+    texts = docs.select(F.col(doc_id).cast("long").alias("rep"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    return saved(texts.join(broadcast_if_small(named), "rep", "left_semi").mapInArrow(sets, "rep long, own binary"), "sets")
+
+
+def confirmed_pairs(pairs: DataFrame, full: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """The pairs (a, b) whose sets are similar. One side travels to the other as a row a pair; a
+    task goes through them in order and holds one set."""
+    up, down = similarity
+
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held = None, []
         for batch in batches:
@@ -348,40 +338,81 @@ def confirmed(pairs: DataFrame, docs: DataFrame, n: int, similarity: tuple[int,
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64())], names=["a", "b"])
 
-    texts = docs.select(F.col(doc_id).cast("long").alias("rep"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    full = saved(texts.join(broadcast_if_small(named), "rep", "left_semi").mapInArrow(sets, "rep long, own binary"), "sets")
     # Each pair meets at the class named by a coin, so that a class with many pairs holds half of them.
     coin = F.pmod(F.xxhash64("a", "b"), F.lit(2)) == 0
     turned = pairs.select(F.when(coin, F.col("a")).otherwise(F.col("b")).alias("a"), F.when(coin, F.col("b")).otherwise(F.col("a")).alias("b"))
     travel = turned.join(full, F.col("b") == F.col("rep")).select("a", "b", "own")
     there = full.join(turned.select(F.col("a").alias("rep")).distinct(), "rep", "left_semi").select(F.col("rep").alias("a"), F.lit(None).cast("long").alias("b"), "own")
-    k = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    k = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = there.union(travel).repartition(k, "a").sortWithinPartitions("a", F.col("b").asc_nulls_first())
     return dealt.mapInArrow(compare, "a long, b long").distinct()
 
 
+def confirmed_crowds(members: DataFrame, full: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """A spanning forest (a, b) of the similar pairs within each node of members(rep, path, tile).
+    Each task holds the full sets of one node, or tile, at a time."""
+    up, down = similarity
+
+    def forest(reps: list[int], sets: list[np.ndarray]) -> list[tuple[int, int]]:
+        m, sizes = len(sets), np.array([len(s) for s in sets])
+        flat, owner = np.concatenate(sets), np.repeat(np.arange(m), sizes)
+        order = np.argsort(flat, kind="stable")
+        owner = owner[order]
+        starts = np.flatnonzero(np.concatenate([[True], flat[order][1:] != flat[order][:-1]]))
+        ends = np.append(starts[1:], len(owner))
+        which = np.empty(len(flat), np.int64)
+        which[order] = np.repeat(np.arange(len(starts)), ends - starts)
+        label, out, at = np.arange(m), [], 0
+        for i in range(m):
+            mine = which[at : at + sizes[i]]
+            at += sizes[i]
+            others = np.concatenate([owner[starts[t] : ends[t]] for t in mine])
+            common = np.bincount(others, minlength=m)
+            alike = common * down >= up * (sizes[i] + sizes - common)
+            for j in np.flatnonzero(alike & (label != label[i])):
+                if label[j] != label[i]:
+                    out.append((reps[i], reps[j]))
+                    label[label == label[j]] = label[i]
+        return out
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, reps, sets = None, [], []
+
+        def links() -> Iterator[pa.RecordBatch]:
+            found = forest(reps, sets) if len(reps) > 1 else []
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array([min(x) for x in found], pa.int64()), pa.array([max(x) for x in found], pa.int64())], names=["a", "b"])
+
+        for b in batches:
+            for path, tile, rep, own in zip(*(b[c].to_pylist() for c in ("path", "tile", "rep", "own")), strict=True):
+                if (path, tile) != key:
+                    yield from links()
+                    key, reps, sets = (path, tile), [], []
+                reps.append(rep)
+                sets.append(np.frombuffer(own, np.uint64))
+        yield from links()
+
+    k = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = members.join(full, "rep").select("path", "tile", "rep", "own").repartition(k, "path", "tile").sortWithinPartitions("path", "tile")
+    return dealt.mapInArrow(work, "a long, b long").filter("a <> b").distinct()
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: tuple[int, int] = (80, 100), trees: int = 3, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, kept: a row for each row of `docs`."""
     every = saved(signatures(docs, shingle, doc_id, text), "signatures")
-    full = every.filter("set_key is not null and doc_id is not null")
+    some = every.filter("set_key is not null and doc_id is not null")
     best = F.min(F.struct("doc_id", "minwise")).alias("m")
-    classes = saved(full.groupBy("set_key").agg(best).select("set_key", F.col("m.doc_id").alias("rep"), F.col("m.minwise").alias("minwise")), "classes")
+    classes = saved(some.groupBy("set_key").agg(best).select("set_key", F.col("m.doc_id").alias("rep"), F.col("m.minwise").alias("minwise")), "classes")
     nodes = leaves(classes.select("rep", "minwise"), trees)
-    # 2 bits a differing coordinate are expected, at most 4; 5 standard deviations beyond the
+    # 2 bits a differing coordinate are expected, at most 4; 6 standard deviations beyond the
     # expectation at the wanted similarity.
     s = similarity[0] / similarity[1]
-    reach = math.ceil(2 * COORDINATES * (1 - s) + 5 * math.sqrt(COORDINATES * (4 * s * (1 - s) + (1 - s))))
-    links, labels, first = None, None, 0
-    for last in (8, 64, 512, 2 * NODE):
-        found = saved(proposals(nodes, reach, first, last, labels), "proposals")
-        new = confirmed(found.filter("a is not null").select("a", "b"), docs, shingle, similarity, doc_id, text)
-        links = saved(new if links is None else links.union(new).distinct(), "links")
-        labels = components(links)
-        more = found.filter("path is not null").select("path")
-        if not more.head(1):
-            break
-        nodes = saved(nodes.join(more, "path", "left_semi"), "nodes")
-        first = last
+    reach = math.ceil(2 * COORDINATES * (1 - s) + 6 * math.sqrt(COORDINATES * (4 * s * (1 - s) + (1 - s))))
+    found = saved(proposals(nodes, reach), "proposals")
+    pairs, members = found.filter("b is not null").select("a", "b"), found.filter("b is null").select(F.col("a").alias("rep"), "path", "tile")
+    named = saved(pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).union(members.select("rep")).distinct(), "named")
+    full = full_sets(named, docs, shingle, doc_id, text)
+    labels = components(confirmed_pairs(pairs, full, similarity).union(confirmed_crowds(members, full, similarity)))
     named = classes.join(labels, F.col("rep") == F.col("vertex"), "left").select(F.col("set_key").alias("key"), F.coalesce("component", "rep").alias("component_id"))
     # Rows that share an id can be in several classes, and are one vertex.
     thin = every.select("doc_id", "n_shingles", "set_key").join(named, F.col("set_key") == F.col("key"), "left")
