@@ -4,7 +4,7 @@ Counts of words and word pairs in the training texts are quantised on a logarith
 stands for counts from BASE^(q-1) up to BASE^q. An n-gram of level q is put into the filter q times,
 as (n-gram, 1) ... (n-gram, q); to look a count up, membership of (n-gram, 1), (n-gram, 2), ... is
 probed until the first miss. The filter is cut into slices by hash, each built by one task, and
-broadcast whole: 8 to 12 bits an entry, never above MAX_BITS.
+broadcast whole: 8 bits an entry, never above MAX_BITS.
 
 A word's probability after the one before it is interpolated with the word's own:
 SHARE * c(vw) / c(v) + (1 - SHARE) * p(w), p(w) = (c(w) + 1) / (N + V + 1), all counts from the
@@ -30,9 +30,9 @@ from pyspark.sql import functions as F
 from .common import id_remainder, load, saved, words
 
 U = np.uint64
-BASE, PROBES, BITS_AN_ENTRY = 1.5, 4, 10
-#: The filter's bound: 256 MB. A corpus that would need more gets a denser filter, which errs more.
-MAX_BITS = 1 << 31
+BASE, PROBES, BITS_AN_ENTRY = 1.5, 4, 8
+#: The filters' bound: 128 MB. A corpus that would need more gets denser ones, which err more.
+MAX_BITS = 1 << 30
 #: Words whose exact counts are broadcast: 16 bytes each.
 COMMON = 1 << 20
 #: What a pair's own frequency weighs beside the word's.
@@ -107,15 +107,20 @@ def places(h: np.ndarray, j: int, bits: np.ndarray | int) -> Iterator[np.ndarray
         yield mixed(h + U((j * PROBES + i) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)) % bits
 
 
-def put_together(slices: int, rows: list[tuple[int, int, bytes]], top: int) -> tuple:
-    """What Filter takes, from (slice, bits, data) rows: plain values that can be broadcast."""
-    bits, at = np.ones(slices, np.uint64), np.zeros(slices, np.uint64)
-    parts, place = [b"\0"], 8  # a slice without entries reads a zero bit
-    for s, n, data in sorted(rows):
-        bits[s], at[s] = n, place
-        parts.append(data)
-        place += 8 * len(data)
-    return slices, bits, at, np.frombuffer(b"".join(parts), np.uint8), top
+def put_together(model: DataFrame, order: int, slices: int) -> tuple:
+    """What Filter takes, from the rows of an order: plain values that can be broadcast. The slices
+    come to the driver one by one, into one buffer of at most MAX_BITS."""
+    own = model.filter(F.col("order") == order)
+    sizes = {r["slice"]: r["bits"] for r in own.select("slice", "bits").collect()}
+    bits, at, place = np.ones(slices, np.uint64), np.zeros(slices, np.uint64), 1
+    for s, n in sorted(sizes.items()):
+        bits[s], at[s] = n, 8 * place
+        place += n // 8
+    data = np.zeros(place, np.uint8)  # a slice without entries reads the zero bit at its beginning
+    for r in own.select("slice", "data").toLocalIterator():
+        first = int(at[r["slice"]]) // 8
+        data[first : first + len(r["data"])] = np.frombuffer(r["data"], np.uint8)
+    return slices, bits, at, data
 
 
 class Filter:
@@ -233,8 +238,8 @@ def scores(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str = "text"
     train = rows.filter(~F.col("held_out"))
     n_docs = train.count()
     model = counted(train, slices)
-    told = model.select("order", "slice", "types", "tokens", "top", "bits", "data", "above").collect()  # at most MAX_BITS
-    filters = [put_together(slices, [(r["slice"], r["bits"], bytes(r["data"])) for r in told if r["order"] == o], max([0, *(r["top"] for r in told if r["order"] == o)])) for o in (1, 2)]
+    told = model.select("order", "types", "tokens", "top", "above").collect()  # a row for each slice
+    filters = [(*put_together(model, o, slices), max([0, *(r["top"] for r in told if r["order"] == o)])) for o in (1, 2)]
     types, total = (sum(r[c] for r in told if r["order"] == 1) for c in ("types", "tokens"))
     power = next(i for i in range(48) if sum(r["above"][i] for r in told if r["order"] == 1) <= COMMON)
     common = word_counts(model, 1 << power, 1 << 62).toPandas()  # at most COMMON rows
