@@ -7,12 +7,9 @@ pre-aggregated and windows run within a map and axis.
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-OK = F.col("status") == "ok"
-
-
 def keypoint_count(coords: DataFrame) -> DataFrame:
     """(raster_id, n): the number of good keypoints on the axis that has fewer."""
-    n = [F.count_if((F.col("axis") == a) & OK) for a in ("lat", "lon")]
+    n = [F.count_if((F.col("axis") == a) & (F.col("status") == "ok")) for a in ("lat", "lon")]
     return coords.groupBy("raster_id").agg(F.least(*n).alias("n"))
 
 
@@ -184,7 +181,13 @@ def polynomial_fit(points: DataFrame) -> DataFrame:
     return sums.select("raster_id", (F.col("mz") - b * F.col("mx") - c * F.col("my")).alias("a"), b.alias("b"), c.alias("c"))
 
 
+def held(value: Column, limit: float) -> Column:
+    """A value within -limit ... limit; null stays null."""
+    return F.when(value.isNotNull(), F.greatest(F.least(value, F.lit(limit)), F.lit(-limit)))
+
+
 def predicted(points: DataFrame, fit: DataFrame, limit: float) -> DataFrame:
-    """points(raster_id, x, y) with `value` by the map's fit, held within -limit ... limit."""
+    """points(raster_id, x, y) with `value` by the map's fit, held within -limit ... limit; null
+    where the map has no fit."""
     value = F.col("a") + F.col("b") * F.col("x") + F.col("c") * F.col("y")
-    return points.join(fit, "raster_id").withColumn("value", F.greatest(F.least(value, F.lit(limit)), F.lit(-limit))).drop("a", "b", "c")
+    return points.join(fit, "raster_id").withColumn("value", held(value, limit)).drop("a", "b", "c")

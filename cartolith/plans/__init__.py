@@ -1,6 +1,6 @@
 """The query catalogue. Importing this package registers all queries."""
 
-from . import coordinates, points, results, strings, text_layer  # noqa: F401
+from . import coordinates, georeference, points, results, strings, text_layer  # noqa: F401
 from .catalog import CATALOGUE
 
 __all__ = ["CATALOGUE"]

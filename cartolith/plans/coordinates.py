@@ -262,7 +262,7 @@ def polynomial_fit(spark, sf_dir):
     return fit.select("raster_id", *[F.round(F.col(v) + 1e-7, 4).alias(v) for v in "abc"])
 
 
-@query("m15_clamped_prediction", f"{FIT} SELECT raster_id, seq, round(greatest(least(mz - b * mx - c * my + b * x + c * y, 90.0), -90.0) + 1e-7, 4) AS value FROM f JOIN p USING (raster_id)")
+@query("m15_clamped_prediction", f"{FIT} SELECT raster_id, seq, CASE WHEN b IS NOT NULL THEN round(greatest(least(mz - b * mx - c * my + b * x + c * y, 90.0), -90.0) + 1e-7, 4) END AS value FROM f JOIN p USING (raster_id)")
 def clamped_prediction(spark, sf_dir):
     points = derived(spark, sf_dir, POINTS)
     return K.predicted(points, K.polynomial_fit(points), 90.0).select("raster_id", "seq", F.round(F.col("value") + 1e-7, 4).alias("value"))

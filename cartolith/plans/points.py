@@ -114,14 +114,17 @@ def text_twins(spark, sf_dir):
     return P.without_text_twins(derived(spark, sf_dir, ANNOTATIONS)).select("raster_id", "seq")
 
 
-BOX = G.box(*(F.col(c) for c in ("x0", "y0", "x1", "y1"))).alias("box")
+
+def box():
+    return G.box(*(F.col(c) for c in ("x0", "y0", "x1", "y1"))).alias("box")
+
 LEGENDS = "SELECT p_size AS raster_id, min(p_partkey) AS seq, 50 AS x0, 60 AS y0, 200 + p_size AS x1, 300 AS y1 FROM part GROUP BY p_size"
 
 
 @query("f31_swatches_in_legend", f"WITH a AS ({ANNOTATIONS}), l AS ({LEGENDS}) SELECT a.raster_id, a.seq FROM a JOIN l ON a.raster_id = l.raster_id WHERE (a.x0 + a.x1) / 2.0 BETWEEN l.x0 AND l.x1 AND (a.y0 + a.y1) / 2.0 BETWEEN l.y0 AND l.y1 AND (class_name <> '' OR (a.x1 - a.x0 < 120 AND a.x1 - a.x0 < 2 * (a.y1 - a.y0)))")
 def swatches_in_legend(spark, sf_dir):
-    items = derived(spark, sf_dir, ANNOTATIONS).select("raster_id", "seq", "class_name", BOX)
-    return P.swatches_in_legend(items, derived(spark, sf_dir, LEGENDS).select("raster_id", BOX)).select("raster_id", "seq")
+    items = derived(spark, sf_dir, ANNOTATIONS).select("raster_id", "seq", "class_name", box())
+    return P.swatches_in_legend(items, derived(spark, sf_dir, LEGENDS).select("raster_id", box())).select("raster_id", "seq")
 
 
 @query("f32_uses_ontology", f"SELECT raster_id, bool_and(class_name <> '') AS all_known FROM ({ANNOTATIONS}) WHERE seq % 50 < 20 GROUP BY raster_id")
@@ -166,49 +169,49 @@ TURNED = "SELECT c_custkey AS id, c_custkey % 300 AS x0, c_custkey % 200 AS y0,
 @query("g12_box_iou", f"SELECT id, round(greatest(least(x1, bx) - greatest(x0, ax), 0) * greatest(least(y1, bz) - greatest(y0, ay), 0) / (40.0 * 60 * 2 - greatest(least(x1, bx) - greatest(x0, ax), 0) * greatest(least(y1, bz) - greatest(y0, ay), 0)), 6) AS iou FROM ({TURNED})")
 def box_iou(spark, sf_dir):
     other = G.box(*(F.col(c) for c in ("ax", "ay", "bx", "bz")))
-    return derived(spark, sf_dir, TURNED).select("id", BOX, other.alias("o")).select("id", F.round(G.iou(F.col("box"), F.col("o")), 6).alias("iou"))
+    return derived(spark, sf_dir, TURNED).select("id", box(), other.alias("o")).select("id", F.round(G.iou(F.col("box"), F.col("o")), 6).alias("iou"))
 
 
 @query("g6_ring_centroid", f"SELECT id, (x0 + x1) / 2.0 AS x, (y0 + y1) / 2.0 AS y FROM ({TURNED})")
 def ring_centroid(spark, sf_dir):
     c = G.centroid(G.ring_of(F.col("box")))
-    return derived(spark, sf_dir, TURNED).select("id", BOX).select("id", c.alias("c")).select("id", F.round("c.x", 6).alias("x"), F.round("c.y", 6).alias("y"))
+    return derived(spark, sf_dir, TURNED).select("id", box()).select("id", c.alias("c")).select("id", F.round("c.x", 6).alias("x"), F.round("c.y", 6).alias("y"))
 
 
 @query("g1_ring_box", f"SELECT id, x0, y0, x1, y1 FROM ({TURNED})")
 def ring_box(spark, sf_dir):
-    return derived(spark, sf_dir, TURNED).select("id", BOX).select("id", G.box_of(G.ring_of(F.col("box"))).alias("b")).select("id", "b.*")
+    return derived(spark, sf_dir, TURNED).select("id", box()).select("id", G.box_of(G.ring_of(F.col("box"))).alias("b")).select("id", "b.*")
 
 
 @query("j2_point_in_ring", f"SELECT id, ax BETWEEN x0 AND x1 AND ay BETWEEN y0 AND y1 AS inside FROM ({TURNED})")
 def point_in_ring(spark, sf_dir):
-    rows = derived(spark, sf_dir, TURNED).select("id", "ax", "ay", BOX).withColumn("ring", G.ring_of(F.col("box")))
+    rows = derived(spark, sf_dir, TURNED).select("id", "ax", "ay", box()).withColumn("ring", G.ring_of(F.col("box")))
     return rows.select("id", G.point_in_ring(F.col("ax"), F.col("ay"), F.col("ring")).alias("inside"))
 
 
 @query("j1_rings_meet", f"SELECT id, x0 <= bx AND x1 >= ax AND y0 <= bz AND y1 >= ay AS meet FROM ({TURNED})")
 def rings_meet(spark, sf_dir):
     other = G.ring_of(G.box(*(F.col(c) for c in ("ax", "ay", "bx", "bz"))))
-    rows = derived(spark, sf_dir, TURNED).select("id", BOX, other.alias("o")).withColumn("ring", G.ring_of(F.col("box")))
+    rows = derived(spark, sf_dir, TURNED).select("id", box(), other.alias("o")).withColumn("ring", G.ring_of(F.col("box")))
     return rows.select("id", G.rings_meet(F.col("ring"), F.col("o")).alias("meet"))
 
 
 @query("g13_scaled_ring", f"SELECT id, CAST(trunc(x0 * 0.37) AS INT) AS x, CAST(trunc(y1 * 0.37) AS INT) + 7 AS y FROM ({TURNED})")
 def scaled_ring(spark, sf_dir):
     ring = G.moved(G.scaled(G.ring_of(F.col("box")), F.lit(0.37)), F.lit(0), F.lit(7))
-    rows = derived(spark, sf_dir, TURNED).select("id", BOX).select("id", ring.alias("r"))
+    rows = derived(spark, sf_dir, TURNED).select("id", box()).select("id", ring.alias("r"))
     return rows.select("id", F.get("r", 3)["x"].alias("x"), F.get("r", 3)["y"].alias("y"))
 
 
 @query("g9_roi_boxes", f"SELECT id, greatest(x0 - greatest(100, greatest(4000, 100 + id) * 0.04), 0.0)::DOUBLE AS ox0, least(y1 + greatest(100, greatest(4000, 100 + id) * 0.04), 100.0 + id)::DOUBLE AS oy1, (x0 + greatest(100, greatest(4000, 100 + id) * 0.04))::DOUBLE AS ix0 FROM ({TURNED})")
 def roi_boxes(spark, sf_dir):
     b = G.roi_boxes(F.col("box"), F.lit(4000), F.col("id") + 100)
-    return derived(spark, sf_dir, TURNED).select("id", BOX).select("id", b.alias("b")).select("id", F.col("b.outer.x0").cast("double").alias("ox0"), F.col("b.outer.y1").cast("double").alias("oy1"), F.col("b.inner.x0").cast("double").alias("ix0"))
+    return derived(spark, sf_dir, TURNED).select("id", box()).select("id", b.alias("b")).select("id", F.col("b.outer.x0").cast("double").alias("ox0"), F.col("b.outer.y1").cast("double").alias("oy1"), F.col("b.inner.x0").cast("double").alias("ix0"))
 
 
 @query("m33_normalised_boxes", f"SELECT id, CAST(trunc(1000 * x0 / 333.0) AS INT) AS x0, CAST(trunc(1000 * y1 / 250.0) AS INT) AS y1, CAST(least(greatest(trunc(1000 * y1 / 250.0), 0), 1000) AS INT) AS clipped FROM ({TURNED})")
 def normalised_boxes(spark, sf_dir):
-    rows = derived(spark, sf_dir, TURNED).select("id", BOX)
+    rows = derived(spark, sf_dir, TURNED).select("id", box())
     plain, cut = (G.normalised(F.col("box"), F.lit(333), F.lit(250), clip) for clip in (False, True))
     return rows.select("id", plain.alias("p"), cut.alias("c")).select("id", "p.x0", "p.y1", F.col("c.y1").alias("clipped"))
 
@@ -270,11 +273,11 @@ m AS (SELECT a.page, a.seq, b.seq AS r_seq, greatest(least(a.x1, b.x1) - greates
 def first_overlap(spark, sf_dir):
     rows = derived(spark, sf_dir, RECTS)
     moved = rows.select("page", "seq", G.box(F.col("x0") + 5, F.col("y0") + 4, F.col("x1") + 5, F.col("y1") + 4).alias("box"))
-    return R.first_overlap(rows.select("page", "seq", BOX), moved, "page", 0.3)
+    return R.first_overlap(rows.select("page", "seq", box()), moved, "page", 0.3)
 
 
 @query("j19_greedy_overlap")
 def greedy_overlap(spark, sf_dir):
     rows = derived(spark, sf_dir, RECTS)
     moved = rows.select("page", "seq", G.box(F.col("x0") + 5, F.col("y0") + 4, F.col("x1") + 5, F.col("y1") + 4).alias("box"))
-    return R.greedy_overlap(rows.select("page", "seq", BOX), moved, "page", 0.3)
+    return R.greedy_overlap(rows.select("page", "seq", box()), moved, "page", 0.3)

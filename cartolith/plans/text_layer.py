@@ -23,7 +23,10 @@ SELECT doc_id, k AS seq, CASE k WHEN 0 THEN 'cross_section' WHEN 1 THEN 'legend_
 FROM documents CROSS JOIN (SELECT 0 AS k UNION ALL SELECT 1 UNION ALL SELECT 2) AS ks
 """
 
-BOX = G.box(*(F.col(c) for c in ("x0", "y0", "x1", "y1"))).alias("box")
+
+def box():
+    return G.box(*(F.col(c) for c in ("x0", "y0", "x1", "y1"))).alias("box")
+
 CLASSES = ["cross_section", "legend_points_lines", "map"]
 
 
@@ -34,7 +37,7 @@ def ocr(spark, sf_dir):
 
 
 def regions(spark, sf_dir):
-    return derived(spark, sf_dir, SEGMENT_SQL).select("doc_id", "seq", "class_label", BOX)
+    return derived(spark, sf_dir, SEGMENT_SQL).select("doc_id", "seq", "class_label", box())
 
 
 FILTERED = f"""
@@ -165,7 +168,7 @@ def nearest_dip(spark, sf_dir):
     """A symbol's dip: of the numbers up to 90 that its box meets, the one with the nearest centre."""
     rows = derived(spark, sf_dir, SYMBOLS)
     texts = rows.filter("dip <= 90").select("raster_id", F.col("seq").alias("idx"), G.box(F.col("x0") + 13, F.col("y0") + 7, F.col("x0") + 43, F.col("y0") + 27).alias("box"), "dip")
-    return S.nearest_in_box(rows.select("raster_id", "seq", BOX), texts, "raster_id", "dip")
+    return S.nearest_in_box(rows.select("raster_id", "seq", box()), texts, "raster_id", "dip")
 
 
 @query("documents_by_source", "SELECT source, lang, count(*) AS n_docs, CAST(sum(n_chars) AS BIGINT) AS n_chars FROM documents GROUP BY source, lang")

@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def work_folder(spark: SparkSession) -> str:
@@ -11,3 +11,11 @@ def work_folder(spark: SparkSession) -> str:
     only where a bare local session has no such setting."""
     root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="work-")
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """`df` as a written table: worked out once, however many readers there are, and safe against
+    lost executors."""
+    path = f"{work_folder(df.sparkSession)}/table"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
