@@ -242,8 +242,8 @@ def scores(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str = "text"
     filters = [(*put_together(model, o, slices), max([0, *(r["top"] for r in told if r["order"] == o)])) for o in (1, 2)]
     types, total = (sum(r[c] for r in told if r["order"] == 1) for c in ("types", "tokens"))
     power = next(i for i in range(48) if sum(r["above"][i] for r in told if r["order"] == 1) <= COMMON)
-    common = word_counts(model, 1 << power, 1 << 62).toPandas()  # at most COMMON rows
-    h, c = common["h"].to_numpy(np.int64).view(np.uint64), common["c"].to_numpy(np.int64)
+    common = word_counts(model, 1 << power, 1 << 62).toArrow()  # at most COMMON rows
+    h, c = common["h"].to_numpy().view(np.uint64), common["c"].to_numpy()
     order = np.argsort(h)
     held = spark.sparkContext.broadcast((*filters, h[order], c[order]))
     below = math.log10(total + types + 1)
