@@ -25,7 +25,7 @@ def is_image(content: Column) -> Column:
 
 def lines(spark: SparkSession, path: str) -> DataFrame:
     """(file, seq, line): the lines of text files in order."""
-    rows = spark.read.option("wholetext", True).text(path).withColumn("file", F.input_file_name())
+    rows = spark.read.text(path, wholetext=True).withColumn("file", F.input_file_name())
     return rows.select("file", F.posexplode(F.split("value", "\r?\n")).alias("seq", "line"))
 
 
