@@ -113,9 +113,9 @@ def label_bearing(spark, sf_dir):
     return derived(spark, sf_dir, QUADS).select("id", F.round(F.degrees(F.atan2(-(F.col("y3") - F.col("y1")), F.col("x3") - F.col("x1"))), 6).alias("bearing"))
 
 
-@query("m38_parsed_dates", "SELECT DISTINCT CAST(epoch(date_trunc('hour', ts)) AS BIGINT) AS s FROM events WHERE event_id % 50 = 0")
+@query("m38_parsed_dates", "SELECT DISTINCT CAST(epoch(date_trunc('hour', ts)) AS BIGINT) AS s FROM events")
 def parsed_dates(spark, sf_dir):
-    rows = derived(spark, sf_dir, "SELECT * FROM events").filter("event_id % 50 = 0").select(F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd-HH:00:00").alias("t")).distinct()
+    rows = derived(spark, sf_dir, "SELECT * FROM events").select(F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd-HH:00:00").alias("t")).distinct()
     return rows.select(F.unix_timestamp(F.to_timestamp("t", "yyyy-MM-dd-HH:mm:ss")).alias("s"))
 
 

@@ -90,9 +90,9 @@ def path_mode(spark, sf_dir):
     return derived(spark, sf_dir, PATHS).select("id", T.path_mode(F.col("path")).alias("mode"))
 
 
-@query("s6_bucket_and_key", f"SELECT id, 'maps' AS bucket, CASE WHEN id % 4 = 0 THEN CAST(id AS STRING) || '/sheet.v2.tif' ELSE CAST(id AS STRING) || '.tif' END AS key FROM ({PATHS}) WHERE id % 4 < 2")
+@query("s6_bucket_and_key", f"SELECT id, 'maps' AS bucket, CASE WHEN id % 4 = 0 THEN CAST(id AS STRING) || '/sheet.v2.tif' ELSE CAST(id AS STRING) || '.tif' END AS key FROM ({PATHS}) WHERE path LIKE 's3://%' OR path LIKE 'http%'")
 def bucket_and_key(spark, sf_dir):
-    return derived(spark, sf_dir, PATHS).filter("id % 4 < 2").select("id", T.bucket_and_key(F.col("path")).alias("b")).select("id", "b.bucket", "b.key")
+    return derived(spark, sf_dir, PATHS).filter(T.path_mode(F.col("path")).isin("s3", "url")).select("id", T.bucket_and_key(F.col("path")).alias("b")).select("id", "b.bucket", "b.key")
 
 
 @query("s9_joined_path", f"SELECT id, '/work/' || CAST(id AS STRING) AS path FROM ({PATHS})")

@@ -98,9 +98,9 @@ def token_budget(spark, sf_dir):
     return sums.groupBy("doc_id").agg(F.coalesce(best, last).alias("b")).select("doc_id", F.col("b.most").alias("max_len"), F.col("b.tokens").cast("long").alias("tokens"))
 
 
-@query("t26_text_index", f"SELECT doc_id, '(' || text || ', ' || CAST(idx AS STRING) || ')' AS entry FROM ({OCR_SQL}) WHERE idx < 5")
+@query("t26_text_index", f"SELECT doc_id, '(' || text || ', ' || CAST(idx AS STRING) || ')' AS entry FROM ({OCR_SQL})")
 def text_index(spark, sf_dir):
-    return ocr(spark, sf_dir).filter("idx < 5").select("doc_id", F.format_string("(%s, %d)", "text", F.col("idx").cast("long")).alias("entry"))
+    return ocr(spark, sf_dir).select("doc_id", F.format_string("(%s, %d)", "text", F.col("idx").cast("long")).alias("entry"))
 
 
 @query("t27_text_list", f"SELECT doc_id, string_agg('(' || text || ', ' || CAST(idx AS STRING) || ')', chr(10) ORDER BY idx) AS entries FROM ({OCR_SQL}) GROUP BY doc_id")
