@@ -45,7 +45,7 @@ def seeds(rows: DataFrame, words: str) -> DataFrame:
     return at.select("*", F.explode(F.array(*[seed(n, m) for n, m in enumerate(MASKS)])).alias("seed")).filter("seed is not null")
 
 
-def overlaps(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text", window: int = 20, similarity: float = 0.8) -> DataFrame:
+def overlaps(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text", window: int = 13, similarity: float = 0.8) -> DataFrame:
     """doc_id, item_id, hits, matched (most words that agree), item_words: one row for each pair
     that overlaps.
 
