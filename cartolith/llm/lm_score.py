@@ -38,8 +38,8 @@ COMMON = 1 << 20
 #: What a pair's own frequency weighs beside the word's.
 SHARE = 0.3
 #: Tokens that a worker counts or scores at once.
-CHUNK = 1 << 20
-CACHE = 500_000
+CHUNK = 1 << 19
+CACHE = 300_000
 START, END = U(0x5851F42D4C957F2D), U(0x14057B7EF767814F)
 
 
