@@ -1,6 +1,6 @@
 """The query catalogue. Importing this package registers all queries."""
 
-from . import coordinates, details, files, georeference, pixels, points, results, strings, text_layer  # noqa: F401
+from . import compositions, coordinates, details, files, georeference, pixels, points, results, strings, text_layer  # noqa: F401
 from .catalog import CATALOGUE
 
 __all__ = ["CATALOGUE"]
