@@ -2,6 +2,7 @@
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,15 +16,17 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@cache
+def _own_root() -> str:
+    return tempfile.mkdtemp(prefix="shared-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """A new folder name under spark.checkpoint.dir, which all executors see.
 
-    Only where the setting is missing (a bare local session) a temporary folder is set.
+    Only where the setting is missing (a bare local session) it is a temporary folder.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="shared-")
-        spark.conf.set("spark.checkpoint.dir", root)
+    root = spark.conf.get("spark.checkpoint.dir", None) or _own_root()
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
 
 

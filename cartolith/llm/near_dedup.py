@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, load, saved, words
+from .common import broadcast_if_small, forget, load, saved, words
 from .components import components
 
 #: Minwise coordinates of a class, and how many of them each level may pick from.
@@ -413,6 +413,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: tuple[int, in
     named = saved(pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).union(members.select("rep")).distinct(), "named")
     full = full_sets(named, docs, shingle, doc_id, text)
     labels = components(confirmed_pairs(pairs, full, similarity).union(confirmed_crowds(members, full, similarity)))
+    for table in (found, named, full):
+        forget(table)
     named = classes.join(labels, F.col("rep") == F.col("vertex"), "left").select(F.col("set_key").alias("key"), F.coalesce("component", "rep").alias("component_id"))
     # Rows that share an id can be in several classes, and are one vertex.
     thin = every.select("doc_id", "n_shingles", "set_key").join(named, F.col("set_key") == F.col("key"), "left")
