@@ -70,7 +70,8 @@ class Tokens:
     def chunks(self, batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         """(first row, row after the last, tokens, number of tokens of each row)."""
         first, held, size = 0, [], 0
-        for n, t in enumerate(batch["text"].to_pylist()):
+        texts = (t for at in range(0, batch.num_rows, 128) for t in batch.slice(at, 128)["text"].to_pylist())
+        for n, t in enumerate(texts):
             held.append(self.of(t))
             size += len(held[-1])
             if size >= CHUNK:
