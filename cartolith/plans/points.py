@@ -99,14 +99,14 @@ def point_f1(spark, sf_dir):
     return n.join(hits, "map_id", "left").select("map_id", F.least(R.harmonic(F.coalesce("hits", F.lit(0)), F.col("n"), F.col("n")), F.lit(1.0)).alias("f1"))
 
 
-ANNOTATIONS = """SELECT p_size AS raster_id, p_partkey AS seq, CASE WHEN p_size % 3 = 0 THEN 'labelme' WHEN p_partkey % 4 = 0 THEN 'labelme' WHEN p_partkey % 4 = 1 THEN 'other' ELSE 'polymer' END AS system, p_partkey % 5 <> 0 AS validated,
+ANNOTATIONS = """SELECT p_size AS raster_id, p_partkey AS seq, CASE WHEN p_size % 3 = 0 THEN 'labelme' WHEN p_partkey % 4 = 0 THEN 'labelme' WHEN p_partkey % 4 = 1 THEN 'other' ELSE 'curated' END AS system, p_partkey % 5 <> 0 AS validated,
  CASE WHEN p_partkey % 7 = 0 THEN 'line' ELSE 'point' END AS category, p_type AS label, CASE WHEN p_partkey % 6 = 0 THEN '' ELSE p_brand END AS class_name, p_partkey % 300 AS x0, p_partkey % 400 AS y0, p_partkey % 300 + p_partkey % 140 + 5 AS x1, p_partkey % 400 + 50 AS y1 FROM part"""
 
 
-@query("f35_legend_precedence", f"""WITH a AS (SELECT * FROM ({ANNOTATIONS}) WHERE system IN ('polymer', 'labelme') AND validated AND (system = 'labelme' OR category = 'point')), o AS (SELECT *, max(CASE WHEN system <> 'labelme' THEN 1 ELSE 0 END) OVER (PARTITION BY raster_id) AS o FROM a)
+@query("f35_legend_precedence", f"""WITH a AS (SELECT * FROM ({ANNOTATIONS}) WHERE system IN ('curated', 'labelme') AND validated AND (system = 'labelme' OR category = 'point')), o AS (SELECT *, max(CASE WHEN system <> 'labelme' THEN 1 ELSE 0 END) OVER (PARTITION BY raster_id) AS o FROM a)
 SELECT raster_id, seq, system FROM o WHERE o = 0 OR system <> 'labelme'""")
 def legend_precedence(spark, sf_dir):
-    return P.legend_precedence(derived(spark, sf_dir, ANNOTATIONS), ["polymer", "labelme"]).select("raster_id", "seq", "system")
+    return P.legend_precedence(derived(spark, sf_dir, ANNOTATIONS), ["curated", "labelme"]).select("raster_id", "seq", "system")
 
 
 @query("f37_text_twins", f"SELECT raster_id, seq FROM (SELECT *, lag(label) OVER (PARTITION BY raster_id ORDER BY seq) AS b FROM ({ANNOTATIONS})) WHERE system <> 'labelme' OR label IS DISTINCT FROM b")
