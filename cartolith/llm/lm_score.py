@@ -3,8 +3,9 @@
 Counts of words and word pairs in the training texts are quantised on a logarithmic scale: level q
 stands for counts from BASE^(q-1) up to BASE^q. An n-gram of level q is put into the filter q times,
 as (n-gram, 1) ... (n-gram, q); to look a count up, membership of (n-gram, 1), (n-gram, 2), ... is
-probed until the first miss. The filter is cut into slices by hash, each built by one task, and
-broadcast whole: 8 bits an entry, never above MAX_BITS.
+probed until the first miss. The filter is cut into slices by hash, each built by one task, of 8
+bits an entry at any size. The words' filter is broadcast whole; that of the pairs as many slices at
+a time as MAX_BITS holds, and each such pass over the texts sums the pairs that belong to its slices.
 
 A word's probability after the one before it is interpolated with the word's own:
 SHARE * c(vw) / c(v) + (1 - SHARE) * p(w), p(w) = (c(w) + 1) / (N + V + 1), all counts from the
@@ -31,7 +32,7 @@ from .common import id_remainder, load, saved, words
 
 U = np.uint64
 BASE, PROBES, BITS_AN_ENTRY = 1.5, 4, 8
-#: The filters' bound: 128 MB. A corpus that would need more gets denser ones, which err more.
+#: What a pass takes of the pairs' filter: 128 MB. A corpus that needs more is gone through again.
 MAX_BITS = 1 << 30
 #: Words whose exact counts are broadcast: 16 bytes each.
 COMMON = 1 << 20
@@ -108,10 +109,21 @@ def places(h: np.ndarray, j: int, bits: np.ndarray | int) -> Iterator[np.ndarray
         yield mixed(h + U((j * PROBES + i) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)) % bits
 
 
-def put_together(model: DataFrame, order: int, slices: int) -> tuple:
-    """What Filter takes, from the rows of an order: plain values that can be broadcast. The slices
-    come to the driver one by one, into one buffer of at most MAX_BITS."""
-    own = model.filter(F.col("order") == order)
+def passes(bits: list[int]) -> list[tuple[int, int]]:
+    """(first slice, slice after the last) of each pass: together at most MAX_BITS, or one slice."""
+    out, first, held = [], 0, 0
+    for s, n in enumerate(bits):
+        if held and held + n > MAX_BITS:
+            out.append((first, s))
+            first, held = s, 0
+        held += n
+    return [*out, (first, len(bits))]
+
+
+def put_together(model: DataFrame, order: int, slices: int, first: int, after: int) -> tuple:
+    """What Filter takes, from an order's slices from `first` up to before `after`: plain values
+    that can be broadcast. The slices come to the driver one by one, into one buffer."""
+    own = model.filter((F.col("order") == order) & (F.col("slice") >= first) & (F.col("slice") < after))
     sizes = {r["slice"]: r["bits"] for r in own.select("slice", "bits").collect()}
     bits, at, place = np.ones(slices, np.uint64), np.zeros(slices, np.uint64), 1
     for s, n in sorted(sizes.items()):
@@ -119,8 +131,8 @@ def put_together(model: DataFrame, order: int, slices: int) -> tuple:
         place += n // 8
     data = np.zeros(place, np.uint8)  # a slice without entries reads the zero bit at its beginning
     for r in own.select("slice", "data").toLocalIterator():
-        first = int(at[r["slice"]]) // 8
-        data[first : first + len(r["data"])] = np.frombuffer(r["data"], np.uint8)
+        start = int(at[r["slice"]]) // 8
+        data[start : start + len(r["data"])] = np.frombuffer(r["data"], np.uint8)
     return slices, bits, at, data
 
 
@@ -191,7 +203,7 @@ def counted(train: DataFrame, slices: int) -> DataFrame:
             h, n = h[first], np.add.reduceat(n, first)
             q = level(n)
             entries = int(q.sum())
-            bits = max(64, min(BITS_AN_ENTRY * entries, MAX_BITS // (2 * slices)) // 8 * 8)
+            bits = max(64, BITS_AN_ENTRY * entries)
             marks = np.zeros(bits, bool)
             for j in range(1, int(q.max()) + 1):
                 for x in places(h[q >= j], j, U(bits)):
@@ -239,53 +251,82 @@ def scores(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str = "text"
     train = rows.filter(~F.col("held_out"))
     n_docs = train.count()
     model = counted(train, slices)
-    told = model.select("order", "types", "tokens", "top", "above").collect()  # a row for each slice
-    filters = [(*put_together(model, o, slices), max([0, *(r["top"] for r in told if r["order"] == o)])) for o in (1, 2)]
+    told = model.select("order", "slice", "types", "tokens", "top", "bits", "above").collect()  # a row for each slice
+    tops = [max([0, *(r["top"] for r in told if r["order"] == o)]) for o in (1, 2)]
     types, total = (sum(r[c] for r in told if r["order"] == 1) for c in ("types", "tokens"))
     power = next(i for i in range(48) if sum(r["above"][i] for r in told if r["order"] == 1) <= COMMON)
     common = word_counts(model, 1 << power, 1 << 62).toArrow()  # at most COMMON rows
     h, c = common["h"].to_numpy().view(np.uint64), common["c"].to_numpy()
     order = np.argsort(h)
-    held = spark.sparkContext.broadcast((*filters, h[order], c[order]))
+    held = spark.sparkContext.broadcast(((*put_together(model, 1, slices, 0, slices), tops[0]), h[order], c[order]))
     below = math.log10(total + types + 1)
+    sizes_of = {r["slice"]: r["bits"] for r in told if r["order"] == 2}
+    cuts = passes([sizes_of.get(s, 0) for s in range(slices)])
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (one, two, known, exact), own = held.value, Tokens()
-        one, two = Filter(*one), Filter(*two)
-        for b in batches:
-            for first, after, tokens, sizes in own.chunks(b):
-                starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-                kinds, which = np.unique(tokens, return_inverse=True)
-                # The base score, as far as words are common.
-                if len(known):
-                    at = np.minimum(np.searchsorted(known, kinds), len(known) - 1)
-                    hit = known[at] == kinds
-                    n = np.where(hit, exact[at], 0)
-                else:
-                    hit, n = np.zeros(len(kinds), bool), np.zeros(len(kinds), np.int64)
-                base = np.where(hit, np.log10(n + 1.0) - below, 0.0)
-                # The model: counts by probes, for each distinct word and pair of the chunk once.
-                words_c = one.count(kinds)
-                pair, pair_of = np.unique(pairs(tokens, sizes), return_inverse=True)
-                pair_c = two.count(pair)[pair_of]
-                before = np.empty(len(tokens))
-                before[1:] = words_c[which[:-1]]
-                before[starts] = n_docs
-                own_p = (words_c[which] + 1) / (total + types + 1)
-                follows = np.minimum(pair_c, before) / np.maximum(before, 1)
-                p = np.minimum(np.where(before > 0, SHARE * follows + (1 - SHARE) * own_p, own_p), 1.0)
-                sums = [np.add.reduceat(x, starts) for x in (hit[which].astype(np.int64), base[which], np.log10(p))]
-                # Each row's other words, with their numbers.
-                rare = np.flatnonzero(~hit[which])
-                row = np.searchsorted(starts, rare, side="right") - 1
-                code, n_rare = np.unique(np.stack([row.astype(np.uint64), tokens[rare]], 1), axis=0, return_counts=True) if len(rare) else (np.zeros((0, 2), np.uint64), np.zeros(0, np.int64))
-                cut = np.searchsorted(code[:, 0], np.arange(len(sizes) + 1).astype(np.uint64)).astype(np.int32)
-                lists = [pa.ListArray.from_arrays(pa.array(cut), pa.array(x)) for x in (code[:, 1].copy().view(np.int64), n_rare.astype(np.int32))]
-                part = b.slice(first, after - first)
-                yield pa.RecordBatch.from_arrays([part["row"], part["doc_id"], part["held_out"], pa.array(sizes.astype(np.int64)), *map(pa.array, sums), *lists], names=["row", "doc_id", "held_out", "n_tokens", "known", "base", "score", "rare_h", "rare_n"])
-
+    numbered = rows.withColumn("row", F.monotonically_increasing_id()).select("row", "doc_id", "held_out", "text")
+    if len(cuts) > 1:
+        numbered = saved(numbered, "numbered")  # every pass must see the same numbers
     kind = rows.schema["doc_id"].dataType.simpleString()
-    partial = saved(rows.withColumn("row", F.monotonically_increasing_id()).select("row", "doc_id", "held_out", "text").mapInArrow(score, f"row long, doc_id {kind}, held_out boolean, n_tokens long, known long, base double, score double, rare_h array<long>, rare_n array<int>"), "partial")
+
+    def summed(n: int) -> DataFrame:
+        """The sums of pass n; the first one also has what doesn't hang on pairs."""
+        first_slice, after_slice = cuts[n]
+        some = spark.sparkContext.broadcast((*put_together(model, 2, slices, first_slice, after_slice), tops[1]))
+
+        def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            (one, known, exact), own = held.value, Tokens()
+            one, two = Filter(*one), Filter(*some.value)
+            for b in batches:
+                for first, after, tokens, sizes in own.chunks(b):
+                    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+                    kinds, which = np.unique(tokens, return_inverse=True)
+                    # The model: counts by probes, for each distinct word and pair of the chunk once.
+                    words_c = one.count(kinds)
+                    pair, pair_of = np.unique(pairs(tokens, sizes), return_inverse=True)
+                    s = slice_of(pair, slices)
+                    mine = (s >= first_slice) & (s < after_slice)
+                    pair_c = np.zeros(len(pair))
+                    pair_c[mine] = two.count(pair[mine])
+                    pair_c = pair_c[pair_of]
+                    before = np.empty(len(tokens))
+                    before[1:] = words_c[which[:-1]]
+                    before[starts] = n_docs
+                    own_p = (words_c[which] + 1) / (total + types + 1)
+                    follows = np.minimum(pair_c, before) / np.maximum(before, 1)
+                    p = np.minimum(np.where(before > 0, SHARE * follows + (1 - SHARE) * own_p, own_p), 1.0)
+                    part = b.slice(first, after - first)
+                    score = pa.array(np.add.reduceat(np.where(mine[pair_of], np.log10(p), 0.0), starts))
+                    if n:
+                        yield pa.RecordBatch.from_arrays([part["row"], score], names=["row", "score"])
+                        continue
+                    # The base score, as far as words are common.
+                    if len(known):
+                        at = np.minimum(np.searchsorted(known, kinds), len(known) - 1)
+                        hit = known[at] == kinds
+                        c = np.where(hit, exact[at], 0)
+                    else:
+                        hit, c = np.zeros(len(kinds), bool), np.zeros(len(kinds), np.int64)
+                    base = np.where(hit, np.log10(c + 1.0) - below, 0.0)
+                    sums = [np.add.reduceat(x[which], starts) for x in (hit.astype(np.int64), base)]
+                    # Each row's other words, with their numbers.
+                    rare = np.flatnonzero(~hit[which])
+                    row = np.searchsorted(starts, rare, side="right") - 1
+                    code, n_rare = np.unique(np.stack([row.astype(np.uint64), tokens[rare]], 1), axis=0, return_counts=True) if len(rare) else (np.zeros((0, 2), np.uint64), np.zeros(0, np.int64))
+                    cut = np.searchsorted(code[:, 0], np.arange(len(sizes) + 1).astype(np.uint64)).astype(np.int32)
+                    lists = [pa.ListArray.from_arrays(pa.array(cut), pa.array(x)) for x in (code[:, 1].copy().view(np.int64), n_rare.astype(np.int32))]
+                    yield pa.RecordBatch.from_arrays([part["row"], part["doc_id"], part["held_out"], pa.array(sizes.astype(np.int64)), *map(pa.array, sums), score, *lists], names=["row", "doc_id", "held_out", "n_tokens", "known", "base", "score", "rare_h", "rare_n"])
+
+        if n:
+            out = saved(numbered.select("row", "text").mapInArrow(score, "row long, score double"), "pass")
+        else:
+            out = saved(numbered.mapInArrow(score, f"row long, doc_id {kind}, held_out boolean, n_tokens long, known long, base double, score double, rare_h array<long>, rare_n array<int>"), "partial")
+        some.destroy()
+        return out
+
+    partial = summed(0)
+    for n in range(1, len(cuts)):
+        more = summed(n).select(F.col("row").alias("at"), F.col("score").alias("more"))
+        partial = saved(partial.join(more, F.col("row") == F.col("at")).withColumn("score", F.col("score") + F.col("more")).drop("at", "more"), "partial")
     other = partial.select("row", F.explode(F.arrays_zip("rare_h", "rare_n")).alias("r")).select("row", F.col("r.rare_h").alias("h"), F.col("r.rare_n").alias("n"))
     found = other.join(word_counts(model, 1, 1 << power), "h", "left")
     add = found.groupBy(F.col("row").alias("at")).agg(

@@ -213,6 +213,18 @@ def test_filter_never_loses_counts():
     assert (f.count(lm_score.mixed(np.arange(10**6, 10**6 + 5000, dtype=np.uint64))) > 0).mean() < 0.1
 
 
+def test_filters_grow_and_are_gone_through_in_passes(spark, monkeypatch):
+    rows = [(i, t or "", s) for i, t, s in [*((n, t, "s") for n, t in enumerate(some(15, 150))), *ODD]]
+    held_out = lambda: lm_score.id_remainder("doc_id", 7) == 2
+    told = lambda out: sorted(tuple(-1 if v is None else round(v, 9) for v in r) for r in out.collect())
+    want = told(lm_score.scores(documents(spark, rows), held_out()))
+    monkeypatch.setattr(lm_score, "MAX_BITS", 8_000)  # far less than the pairs need
+    made = lm_score.counted(documents(spark, rows), 16).filter("order = 2").select("slice", "bits", "entries").collect()
+    assert all(r["bits"] >= 8 * r["entries"] for r in made)
+    assert len(lm_score.passes([r["bits"] for r in sorted(made)])) > 2
+    assert told(lm_score.scores(documents(spark, rows), held_out())) == want
+
+
 # ---- classifier ---------------------------------------------------------------------------------
 
 
