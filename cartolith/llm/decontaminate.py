@@ -86,9 +86,11 @@ def _small(df: DataFrame) -> DataFrame:
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
-    """The rows of `docs`, all columns, whose document overlaps no item."""
-    bad = overlaps(docs, benchmark, doc_id=doc_id, **options).select(F.col("doc_id").alias("__overlapping")).distinct()
-    return docs.join(bad, F.col(doc_id).eqNullSafe(F.col("__overlapping")), "left_anti")
+    """The rows of `docs`, all columns, whose text overlaps no item. Rows go by their id and a hash
+    of their text, as ids may be null or repeated."""
+    key = F.xxhash64(F.col(doc_id).cast("string"), F.col(options.get("text", "text")))
+    bad = overlaps(docs.withColumn("__key", key), benchmark, doc_id="__key", **options).select(F.col("doc_id").alias("__overlapping")).distinct()
+    return docs.join(bad, key == F.col("__overlapping"), "left_anti")
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

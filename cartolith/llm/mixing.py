@@ -100,15 +100,17 @@ def thresholds(thin: DataFrame, goals: DataFrame) -> DataFrame:
     return state.select("source", "source_size", "target", "passes", F.col("low").alias("threshold"))
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """doc_id, source, size, hash, source_size, target, times (0, 1, ...; how often it is taken)."""
+def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0, doc_id: str = "doc_id", text: str = "text", source: str = "source", keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, source, size, hash, source_size, target, times (0, 1, ...; how often it is taken),
+    and the columns `keep`; a row for each row."""
     body = F.coalesce(F.col(text), F.lit(""))
     key = hash60(F.coalesce(F.col(doc_id).cast("string"), F.concat(F.lit("?"), body)))
-    thin = saved(docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), F.regexp_count(body, F.lit(WORD)).cast("long").alias("size"), key.alias("hash")), "sizes")
+    own = [F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), F.regexp_count(body, F.lit(WORD)).cast("long").alias("size"), key.alias("hash")]
+    thin = saved(docs.select(*own), "sizes")
     sums = saved(thin.groupBy("source").agg(F.sum("size").alias("source_size")), "sources")
     cuts = thresholds(thin, targets(sums, weights, share, most)).withColumnRenamed("source", "s")
-    out = thin.join(cuts, F.col("source").eqNullSafe(F.col("s")))
-    return out.select("doc_id", "source", "size", "hash", "source_size", "target", (F.col("passes") + F.when(F.col("hash") < F.col("threshold"), 1).otherwise(0)).alias("times"))
+    out = (docs.select(*own, *keep) if keep else thin).join(cuts, F.col("source").eqNullSafe(F.col("s")))
+    return out.select("doc_id", "source", "size", "hash", "source_size", "target", (F.col("passes") + F.when(F.col("hash") < F.col("threshold"), 1).otherwise(0)).alias("times"), *keep)
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -107,8 +107,8 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "quality
     return w * ratio, ratio**2, bias
 
 
-def scored(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, held_out, score, predicted, for every row. The model, 4 MB at any size, is broadcast."""
+def scored(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], doc_id: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, held_out, score, predicted and the columns `keep`, for every row. The model, 4 MB at any size, is broadcast."""
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,16 +119,16 @@ def scored(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], doc_id:
                 f = find(t)
                 margins.append(weights[f].sum() / max(np.sqrt(square[f].sum()), 1e-12) + bias)
             score = 1 / (1 + np.exp(-2 * np.clip(np.array(margins, float), -300, 300)))
-            yield pa.RecordBatch.from_arrays([b["doc_id"], b["held_out"], pa.array(score), pa.array((score >= 0.5).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
+            yield pa.RecordBatch.from_arrays([b["doc_id"], b["held_out"], pa.array(score), pa.array((score >= 0.5).astype(np.int32)), *(b["__" + c] for c in keep)], names=["doc_id", "held_out", "score", "predicted", *keep])
 
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), (id_remainder(doc_id, 3) == 1).alias("held_out"))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), (id_remainder(doc_id, 3) == 1).alias("held_out"), *(F.col(c).alias("__" + c) for c in keep))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(work, f"doc_id {kind}, held_out boolean, score double, predicted int")
+    return rows.mapInArrow(work, f"doc_id {kind}, held_out boolean, score double, predicted int" + "".join(f", {c} {rows.schema['__' + c].dataType.simpleString()}" for c in keep))
 
 
-def quality(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
+def quality(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...] = (), **options) -> DataFrame:
     """Scores of all of `docs` by the model learnt from labelled rows that aren't held out."""
-    return scored(docs, fit(docs, labels, id_remainder("doc_id", 3) != 1, **options))
+    return scored(docs, fit(docs, labels, id_remainder("doc_id", 3) != 1, **options), keep=keep)
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

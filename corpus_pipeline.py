@@ -15,16 +15,18 @@ SHARDS = 16
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier doesn't reject."""
-    scores = quality(docs, load(spark, sf_dir, "labels"))
-    bad = scores.filter("predicted = 0").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("__id")), "left_anti").select(*COLUMNS)
+    """Rows that the quality classifier doesn't reject, each by its own text."""
+    return quality(docs, load(spark, sf_dir, "labels"), keep=COLUMNS[1:]).filter("predicted <> 0").select(*COLUMNS)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: 5-word shingles, similarity 0.8 or more."""
-    kept = near_duplicates(docs, shingle=5).filter("kept").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi").select(*COLUMNS)
+    """One row of each group of near copies, that of the smallest id: 5-word shingles, similarity
+    0.8 or more. Rows go by a number of their own, as ids may be null or repeated."""
+    rows = saved(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("__row")), "rows")
+    groups = near_duplicates(rows, shingle=5, doc_id="__row").select(F.col("doc_id").alias("at"), "component_id")
+    named = groups.join(rows.select("__row", "doc_id"), F.col("at") == F.col("__row"))
+    kept = named.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "at")).alias("k")).select(F.col("k.at").alias("__kept"))
+    return rows.join(kept, F.col("__row") == F.col("__kept"), "left_semi").select(*COLUMNS)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,9 +37,8 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them: weights 5, 2, 1 by source, 150 % of all words,
     nothing more than twice."""
-    taken = mix(docs).filter("times > 0").select(F.col("doc_id").alias("__id"), "times").distinct()
-    again = docs.join(taken, F.col("doc_id").eqNullSafe(F.col("__id"))).withColumn("__n", F.explode(F.sequence(F.lit(1), F.col("times"))))
-    return again.select(*COLUMNS)
+    taken = mix(docs, keep=("text", "lang", "n_chars")).filter("times > 0")
+    return taken.withColumn("__n", F.explode(F.sequence(F.lit(1), F.col("times")))).select(*COLUMNS)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
