@@ -1,7 +1,8 @@
 """Near-duplicate documents by a chosen-path similarity join over minwise tokens.
 
 A document's set is its distinct n-word shingles. Documents of equal sets form a class, of which
-the smallest id stands for all. In each of several independent trees, a class starts at the root; a
+the smallest id stands for all. In each of several independent trees, which have minwise
+coordinates of their own and whose number follows from a target recall, a class starts at the root; a
 node picks two minwise coordinates, and the class goes on to the children named by its own minwise
 tokens there. Two sets of similarity s share each pick with probability s, so at 0.8 the 1.6 common
 children a node are enough for a pair to stay together on some path almost surely, at any depth.
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 from .common import broadcast_if_small, forget, load, saved, words
 from .components import components
 
-#: Minwise coordinates of a class, and how many of them each level may pick from.
+#: Minwise coordinates of a class for each tree, and how many of them each level may pick from.
 COORDINATES, LEVEL = 64, 16
 #: Nodes up to so many classes are compared exhaustively; tiles have blocks of this size.
 NODE = 2000
@@ -45,10 +46,20 @@ DEPTH = 12
 CACHE = 200_000
 
 U = np.uint64
-#: Multipliers and offsets of the minwise functions, from a fixed seed.
-_chance = np.random.default_rng(20240229)
-MULTIPLY = _chance.integers(0, 1 << 63, COORDINATES, dtype=np.uint64) | U(1)
-ADD = _chance.integers(0, 1 << 63, COORDINATES, dtype=np.uint64)
+
+
+def functions(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Multipliers and offsets of n minwise functions, from a fixed seed."""
+    drawn = np.random.default_rng(20240229).integers(0, 1 << 63, (n, 2), dtype=np.uint64)
+    return drawn[:, 0] | U(1), drawn[:, 1]
+
+
+def trees_for(recall: float, similarity: float) -> int:
+    """The independent trees after which a pair of this similarity is found with probability
+    `recall`. A tree loses it with the extinction probability of a branching process whose two
+    children survive with probability `similarity` each, the smaller root of q = (1 - s + s q)^2."""
+    lost = ((1 - similarity) / similarity) ** 2
+    return 1 if lost == 0 else max(1, math.ceil(math.log(1 - recall) / math.log(lost)))
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -84,16 +95,17 @@ class Shingles:
         return np.unique(out + U(n))
 
 
-def minwise(sets: list[np.ndarray]) -> np.ndarray:
-    """The minwise tokens (32 bits) of nonempty sets, a row each."""
+def minwise(sets: list[np.ndarray], trees: int) -> np.ndarray:
+    """The minwise tokens (32 bits) of nonempty sets, a row each: COORDINATES for each tree."""
+    multiply, add = functions(trees * COORDINATES)
     flat, starts = np.concatenate(sets), np.cumsum([0, *map(len, sets[:-1])])
-    out = np.empty((len(sets), COORDINATES), np.uint32)
-    for k in range(COORDINATES):
-        out[:, k] = np.minimum.reduceat((flat * MULTIPLY[k] + ADD[k]) >> U(32), starts)
+    out = np.empty((len(sets), len(add)), np.uint32)
+    for k in range(len(add)):
+        out[:, k] = np.minimum.reduceat((flat * multiply[k] + add[k]) >> U(32), starts)
     return out
 
 
-def signatures(docs: DataFrame, n: int, doc_id: str, text: str) -> DataFrame:
+def signatures(docs: DataFrame, n: int, trees: int, doc_id: str, text: str) -> DataFrame:
     """doc_id, n_shingles, set_key (128 bits of the set; null: empty), minwise."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,7 +115,7 @@ def signatures(docs: DataFrame, n: int, doc_id: str, text: str) -> DataFrame:
                 b = whole.slice(at, 256)
                 sets = [find(t) for t in b["text"].to_pylist()]
                 full = [s for s in sets if len(s)]
-                rows = iter(minwise(full) if full else ())
+                rows = iter(minwise(full, trees) if full else ())
                 keys = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
                 tokens = [next(rows).tobytes() if len(s) else None for s in sets]
                 yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()), pa.array(tokens, pa.binary())], names=["doc_id", "n_shingles", "set_key", "minwise"])
@@ -130,25 +142,29 @@ def branch(paths: np.ndarray, tokens: np.ndarray, level: int) -> tuple[np.ndarra
     return tuple(mixed(paths * U(5) + mixed(tokens[row, block + c].astype(np.uint64) + (c.astype(np.uint64) << U(40)) + U(level))) for c in (a, b))
 
 
-def _expanded(rows: DataFrame, levels: range, roots: int = 0) -> DataFrame:
-    """(path, parent, rep, sketch) so many levels below the rows' `path`, or below each of `roots`
+def _expanded(rows: DataFrame, levels: range, trees: int, roots: int = 0) -> DataFrame:
+    """(path, parent, rep, sketch, tree) so many levels below the rows' `path`, or below each of `roots`
     trees' roots. With no levels: the roots' own rows."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 1024):
                 b = whole.slice(at, 1024)
-                tokens = np.frombuffer(b"".join(b["minwise"].to_pylist()), np.uint32).reshape(-1, COORDINATES)
-                drawn = pa.array([x.tobytes() for x in sketches(tokens)], pa.binary())
-                heads = [mixed(np.full(len(tokens), 977 * (t + 1), np.uint64)) for t in range(roots)] if roots else [np.asarray(b["path"]).view(np.uint64)]
-                for head in heads:
+                tokens = np.frombuffer(b"".join(b["minwise"].to_pylist()), np.uint32).reshape(-1, trees, COORDINATES)
+                drawn = pa.array([x.tobytes() for x in sketches(tokens[:, 0])], pa.binary())
+                if roots:
+                    heads = [(mixed(np.full(len(tokens), 977 * (t + 1), np.uint64)), np.full(len(tokens), t, np.int32)) for t in range(roots)]
+                else:
+                    heads = [(np.asarray(b["path"]).view(np.uint64), np.asarray(b["tree"]))]
+                for head, tree in heads:
+                    own = tokens[np.arange(len(tokens)), tree]
                     ends = [(head, head)]
                     for level in levels:
-                        ends = [(child, path) for path, _ in ends for child in branch(path, tokens, level)]
+                        ends = [(child, path) for path, _ in ends for child in branch(path, own, level)]
                     for path, parent in ends:
-                        yield pa.RecordBatch.from_arrays([pa.array(path.view(np.int64)), pa.array(parent.view(np.int64)), b["rep"], drawn], names=["path", "parent", "rep", "sketch"])
+                        yield pa.RecordBatch.from_arrays([pa.array(path.view(np.int64)), pa.array(parent.view(np.int64)), b["rep"], drawn, pa.array(tree)], names=["path", "parent", "rep", "sketch", "tree"])
 
-    return rows.mapInArrow(work, "path long, parent long, rep long, sketch binary")
+    return rows.mapInArrow(work, "path long, parent long, rep long, sketch binary, tree int")
 
 
 def leaves(reps: DataFrame, trees: int) -> DataFrame:
@@ -160,7 +176,7 @@ def leaves(reps: DataFrame, trees: int) -> DataFrame:
     """
     total = reps.count()
     level = 0 if total <= NODE else 1 if total <= 20 * NODE else 2
-    rows = _expanded(reps, range(level), trees if level else 1)
+    rows = _expanded(reps, range(level), trees, trees if level else 1)
     parts, above = [], None
     while True:
         counts = rows.groupBy("path", "parent").agg(F.count("*").alias("n")).filter(F.col("n") > NODE)
@@ -175,9 +191,9 @@ def leaves(reps: DataFrame, trees: int) -> DataFrame:
             break
         blocks = F.ceil(F.col("n") / NODE).cast("int")
         parts.append(_tiles(rows.join(large.filter("crowd"), at_node).withColumn("blocks", blocks)))
-        on = rows.join(large.filter("not crowd"), at_node).select("path", "rep").join(reps, "rep")
+        on = rows.join(large.filter("not crowd"), at_node).select("path", "rep", "tree").join(reps, "rep")
         above = large.select(F.col("node").alias("parent"), F.col("n").alias("above"))
-        rows = saved(_expanded(on, range(level, level + 1)), "rows")
+        rows = saved(_expanded(on, range(level, level + 1), trees), "rows")
         level += 1
     out = parts[0]
     for p in parts[1:]:
@@ -397,9 +413,11 @@ def confirmed_crowds(members: DataFrame, full: DataFrame, similarity: tuple[int,
     return dealt.mapInArrow(work, "a long, b long").filter("a <> b").distinct()
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: tuple[int, int] = (80, 100), trees: int = 3, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id, kept: a row for each row of `docs`."""
-    every = saved(signatures(docs, shingle, doc_id, text), "signatures")
+def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: tuple[int, int] = (80, 100), recall: float = 0.9997, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, n_shingles, component_id, kept: a row for each row of `docs`. The trees find a pair
+    of just this similarity with probability `recall`."""
+    trees = trees_for(recall, similarity[0] / similarity[1])
+    every = saved(signatures(docs, shingle, trees, doc_id, text), "signatures")
     some = every.filter("set_key is not null and doc_id is not null")
     best = F.min(F.struct("doc_id", "minwise")).alias("m")
     classes = saved(some.groupBy("set_key").agg(best).select("set_key", F.col("m.doc_id").alias("rep"), F.col("m.minwise").alias("minwise")), "classes")

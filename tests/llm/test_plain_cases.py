@@ -291,6 +291,26 @@ def test_near_copies(spark, monkeypatch, limits):
     assert ((out.doc_id == out.component_id) | out.doc_id.isna()).eq(out.kept).all()
 
 
+def test_trees_reach_their_recall():
+    trees = near_dedup.trees_for(0.9997, 0.8)
+    assert trees == 3 and near_dedup.trees_for(0.9999, 0.8) == 4
+    r, lost = np.random.default_rng(16), 0
+    for _ in range(12):
+        common = [r.integers(0, 1 << 63, 80, dtype=np.uint64) for _ in range(5000)]
+        sides = [[np.concatenate([c, r.integers(0, 1 << 63, 10, dtype=np.uint64)]) for c in common] for _ in range(2)]
+        x, y = (near_dedup.minwise(side, trees).reshape(-1, trees, near_dedup.COORDINATES) for side in sides)  # 80 of 100 in common
+        left = np.arange(len(x))
+        for t in range(trees):
+            p, row = np.full(len(left), near_dedup.mixed(np.full(1, 977 * (t + 1), np.uint64))[0]), np.arange(len(left))
+            for level in range(6):
+                ends = zip(near_dedup.branch(p, x[left[row], t], level), near_dedup.branch(p, y[left[row], t], level), strict=True)
+                met = [(a[a == b], row[a == b]) for a, b in ends]
+                p, row = np.concatenate([m[0] for m in met]), np.concatenate([m[1] for m in met])
+            left = np.delete(left, np.unique(row))
+        lost += len(left)
+    assert lost <= 25, lost  # of 60 000 pairs; trees that shared coordinates lost 34 of these
+
+
 def test_near_copies_of_nothing(spark):
     assert near_dedup.near_duplicates(documents(spark, [])).count() == 0
 
