@@ -24,18 +24,28 @@ def _own_root() -> str:
 def shared_dir(spark: SparkSession) -> str:
     """A new folder name under spark.checkpoint.dir, which all executors see.
 
-    Only where the setting is missing (a bare local session) it is a temporary folder.
+    Only a local session may do without the setting: it gets a temporary folder.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or _own_root()
-    return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return f"{(root or _own_root()).rstrip('/')}/{uuid.uuid4().hex}"
+
+
+def passing(spark: SparkSession, path: str) -> None:
+    """Has the folder deleted when the driver ends."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
 
 
 def saved(df: DataFrame, name: str = "table") -> DataFrame:
-    """`df` as a table in the shared folder: evaluated once, safe against lost executors."""
+    """`df` as a table in the shared folder: evaluated once, safe against lost executors, deleted
+    when the driver ends."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    folder = shared_dir(spark)
+    df.write.parquet(f"{folder}/{name}")
+    passing(spark, folder)
+    return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
 
 
 def forget(df: DataFrame) -> None:

@@ -5,7 +5,9 @@ member a record) and `indexes/index.cdxj` (offset and length of each record). Th
 end record, the ZIP64 record where there is one, and the central directory; it finds both members'
 places, reads the index, and fetches records by byte range. Nothing is extracted to disk.
 
-Defined cases: null payload = empty; null url = no target header; null ids are kept (a null-id copy
+Defined cases: null payload = empty; null url = no target header; a url with blanks or control
+characters is escaped in the header and stands beside it as given; ids are whole 64-bit numbers;
+null ids are kept (a null-id copy
 of a page with an id refers to that id; among null ids alone each is a response); repeated rows are
 written once each, and rows that share both the smallest id and the payload are all responses; an
 empty table gives no packages and no rows. Only the three named columns are read, so others may
@@ -22,12 +24,12 @@ from collections.abc import Iterator
 from hashlib import sha256
 from io import BytesIO
 
-import pandas as pd
+import pyarrow as pa
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import load, saved, shared_dir
+from .common import load, passing, saved, shared_dir
 
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 #: Records are gathered in memory up to this many compressed bytes, then become one package.
@@ -108,7 +110,10 @@ def record(page_id, url, payload: bytes | None, digest: str, n: int, refers_to)
         f"WARC-Payload-Digest: sha256:{digest}",
     ]
     if url is not None:
-        head.append("WARC-Target-URI: " + re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url))
+        plain = re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url)
+        head.append(f"WARC-Target-URI: {plain}")
+        if plain != url:  # the header holds no such characters: what was given stands beside it
+            head.append(f"X-Target-Given: {json.dumps(url)}")
     if kind == "revisit":
         head += [
             f"WARC-Refers-To: <urn:page:{refers_to}>",
@@ -174,31 +179,36 @@ def write_packages(rows: DataFrame, folder: str) -> DataFrame:
     """Writes the rows of with_roles() as packages under `folder`; (path, n_records) for each.
 
     Each task attempt uses names of its own, and the returned table names only those of attempts
-    that committed, so a lost executor or a second attempt adds no records. The table is written.
+    that committed, so a lost executor or a second attempt adds no records. The table is written;
+    the folder is deleted when the driver ends.
     """
 
-    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = pafs.FileSystem.from_uri(folder)
         store.create_dir(root, recursive=True)
 
-        def flush(records: list[bytes]) -> pd.DataFrame:
+        def flush(records: list[bytes]) -> pa.RecordBatch:
             name = f"{uuid.uuid4().hex}.wacz"
             with store.open_output_stream(f"{root}/{name}") as f:
                 f.write(_package(records))
-            return pd.DataFrame({"path": [f"{folder}/{name}"], "n_records": [len(records)]})
+            return pa.RecordBatch.from_pydict({"path": [f"{folder}/{name}"], "n_records": [len(records)]})
 
         held, size = [], 0
-        for b in batches:
-            for page_id, url, payload, digest, n, to in zip(*(b[c] for c in ("page_id", "url", "payload", "digest", "n_bytes", "refers_to")), strict=True):
-                held.append(record(None if pd.isna(page_id) else int(page_id), url, payload, digest, n, None if pd.isna(to) else int(to)))
-                size += len(held[-1])
-                if size >= PACKAGE_BYTES:
-                    yield flush(held)
-                    held, size = [], 0
+        for whole in batches:
+            for at in range(0, whole.num_rows, 256):  # Arrow keeps whole numbers whole, nulls or not
+                b = whole.slice(at, 256)
+                for row in zip(*(b[c].to_pylist() for c in ("page_id", "url", "payload", "digest", "n_bytes", "refers_to")), strict=True):
+                    held.append(record(*row))
+                    size += len(held[-1])
+                    if size >= PACKAGE_BYTES:
+                        yield flush(held)
+                        held, size = [], 0
         if held:
             yield flush(held)
 
-    return saved(rows.mapInPandas(write, "path string, n_records long"), "packages")
+    out = saved(rows.mapInArrow(write, "path string, n_records long"), "packages")
+    passing(rows.sparkSession, folder)
+    return out
 
 
 def read_packages(packages: DataFrame) -> DataFrame:
@@ -206,9 +216,12 @@ def read_packages(packages: DataFrame) -> DataFrame:
     refers_to, payload_bytes and payload_digest (of the full payload, for a revisit as its record
     states them; a response's digest is worked out anew and compared), payload (null: revisit)."""
 
-    def ranges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    places = pa.schema([("path", pa.string()), ("start", pa.int64()), ("lengths", pa.list_(pa.int64()))])
+    fields = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("payload", pa.binary())])
+
+    def ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for path in b["path"]:
+            for path in b["path"].to_pylist():
                 store, place = pafs.FileSystem.from_uri(path)
                 with store.open_input_file(place) as f:
                     members = directory(f, f.size())
@@ -224,15 +237,15 @@ def read_packages(packages: DataFrame) -> DataFrame:
                         run, size = [], 0
                 if run:
                     rows.append(run)
-                yield pd.DataFrame({"path": [path] * len(rows), "start": [r[0][0] for r in rows], "lengths": [[n for _, n in r] for r in rows]})
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(([path] * len(rows), [r[0][0] for r in rows], [[n for _, n in r] for r in rows]), places.types, strict=True)], schema=places)
 
-    def records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for path, start, lengths in zip(b["path"], b["start"], b["lengths"], strict=True):
+            for path, start, lengths in zip(*(b[c].to_pylist() for c in ("path", "start", "lengths")), strict=True):
                 store, place = pafs.FileSystem.from_uri(path)
                 with store.open_input_file(place) as f:
                     f.seek(start)
-                    block = f.read(int(sum(lengths)))
+                    block = f.read(sum(lengths))
                 rows, p = [], 0
                 for n in lengths:
                     warc, http, payload = parse(zlib.decompress(block[p : p + n], 31))
@@ -241,14 +254,14 @@ def read_packages(packages: DataFrame) -> DataFrame:
                     if kind == "response" and (sha256(payload).hexdigest() != told or len(payload) != int(http["content-length"])):
                         raise ValueError(f"damaged record in {path}")
                     own, to = (warc.get(k, "<urn:page:null>")[10:-1] for k in ("warc-record-id", "warc-refers-to"))
-                    rows.append((None if own == "null" else int(own), warc.get("warc-target-uri"), kind, None if to == "null" else int(to), int(http["content-length"]), told, payload if kind == "response" else None))
-                out = pd.DataFrame(rows, columns=["page_id", "url", "record_type", "refers_to", "payload_bytes", "payload_digest", "payload"])
-                yield out.astype({"page_id": "Int64", "refers_to": "Int64"})
+                    url = json.loads(warc["x-target-given"]) if "x-target-given" in warc else warc.get("warc-target-uri")
+                    rows.append((None if own == "null" else int(own), url, kind, None if to == "null" else int(to), int(http["content-length"]), told, payload if kind == "response" else None))
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), fields.types, strict=True)], schema=fields)
 
-    found = packages.select("path").mapInPandas(ranges, "path string, start long, lengths array<long>")
+    found = packages.select("path").mapInArrow(ranges, "path string, start long, lengths array<long>")
     n = int(packages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = found.repartition(n, "path", "start")
-    return dealt.mapInPandas(records, "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, payload binary")
+    return dealt.mapInArrow(records, "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, payload binary")
 
 
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -266,7 +279,7 @@ OP1_SQL = """
 WITH p AS (SELECT page_id, url, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
 f AS (SELECT payload_digest, min(page_id) AS first_id FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest)
 SELECT p.page_id, p.payload_bytes, p.payload_digest,
-       CASE WHEN f.first_id IS NOT NULL AND f.first_id <> p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
-       CASE WHEN f.first_id <> p.page_id THEN f.first_id END AS refers_to, p.url
+       CASE WHEN f.first_id IS NOT NULL AND f.first_id IS DISTINCT FROM p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN f.first_id IS DISTINCT FROM p.page_id THEN f.first_id END AS refers_to, p.url
 FROM p LEFT JOIN f ON p.payload_digest = f.payload_digest AND p.payload_bytes >= 100
 """
