@@ -8,17 +8,18 @@ the only one to be summed again with finer buckets, and so on, until it holds on
 nest: a larger budget takes all that a smaller one does.
 
 Defined cases: null text counts no words; null source is a source of its own, the last by order;
-the hash is of doc_id and, for null ids, of the text; rows that are equal in both are taken
-together; a source without words takes nothing; an empty table gives an empty result. Only the
+the hash is of doc_id and, for null ids, of the text; rows of equal hash go by a hash of the text,
+and rows equal in both by their place in the written table: which of them is taken is all one, how
+many isn't; a source without words takes nothing; an empty table gives an empty result. Only the
 named columns are read.
 """
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, load, saved
+from .common import WORD, broadcast_if_small, load, saved
 
-#: Hash bits that one level of the histogram resolves, and all of them (15 hex digits of md5).
+#: Bits of a key that one level of the histogram resolves, and all of them (15 hex digits of md5).
 STEP, BITS = 10, 60
 
 
@@ -58,59 +59,77 @@ def targets(sources: DataFrame, weights: tuple[int, ...], share: float, most: fl
 
 
 def thresholds(thin: DataFrame, goals: DataFrame) -> DataFrame:
-    """source, source_size, target, passes, threshold: hashes below it are taken once more.
+    """source, source_size, target, passes, t1, t2, t3: rows whose keys (k1, k2, k3) come before these
+    three are taken once more.
 
     goals: source, source_size, target. Each level is one pre-aggregated sum of at most 1024
     buckets a source, read from the written thin table; only rows of the boundary buckets count.
+    Only where a bucket holds several rows of one key does the search go on by the next key, so
+    rows that share an id, or all three columns, are told apart at the boundary.
     """
     size = F.col("source_size")
     passes = F.when(size > 0, F.floor(F.col("target") / size)).otherwise(0).cast("long")
-    state = goals.withColumn("passes", passes).withColumn("rest", F.col("target") - F.col("passes") * size).withColumn("low", F.lit(0).cast("long")).withColumn("below", F.lit(0).cast("long"))
-    for done in range(0, BITS, STEP):
+    zero = F.lit(0).cast("long")
+    state = goals.withColumn("passes", passes).withColumn("rest", F.col("target") - F.col("passes") * size)
+    # The span under search: 2^bits values of key `phase` from `low` on, below which lie `below`
+    # words; f1 and f2 are the earlier keys' values.
+    state = state.select("*", F.lit(0).alias("phase"), F.lit(BITS).alias("bits"), zero.alias("low"), zero.alias("below"), zero.alias("f1"), zero.alias("f2"), F.lit(True).alias("open"))
+    while True:
         state = saved(state, "state")
-        if done and not state.filter("open").head(1):
+        held = state.filter("open").select(F.col("source").alias("s"), "rest", "low", "below", "phase", "bits", "f1", "f2")
+        if not held.head(1):
             break
-        held = state if not done else state.filter("open")
-        width = 1 << (BITS - done - STEP)
-        names = held.select(F.col("source").alias("s"), "rest", "low", "below")
-        rows = thin.join(names, F.col("source").eqNullSafe(F.col("s")) & (F.col("hash") >= F.col("low")) & (F.col("hash") < F.col("low") + F.lit(width << STEP)))
-        bucket = F.expr(f"(hash - low) div {width}L").alias("bucket")
-        summed = rows.groupBy("source", "rest", "low", "below", bucket).agg(F.sum("size").alias("words"), F.min("hash").alias("first"), F.max("hash").alias("last"))
+        key = F.when(F.col("phase") == 0, F.col("k1")).when(F.col("phase") == 1, F.col("k2")).otherwise(F.col("k3"))
+        fixed = ((F.col("phase") < 1) | (F.col("k1") == F.col("f1"))) & ((F.col("phase") < 2) | (F.col("k2") == F.col("f2")))
+        rows = thin.join(broadcast_if_small(held), F.col("source").eqNullSafe(F.col("s")) & fixed).withColumn("key", key)
+        rows = rows.filter((F.col("key") >= F.col("low")) & (F.expr("shiftright(key - low, bits)") == 0))
+        of = ("source", "rest", "low", "below", "phase", "bits")
+        summed = rows.groupBy(*of, F.expr(f"shiftright(key - low, bits - {STEP})").alias("bucket")).agg(F.sum("size").alias("words"), F.min("key").alias("first"), F.max("key").alias("last"), F.count("*").alias("n"))
         run = Window.partitionBy("source").orderBy("bucket")
         ahead = F.col("below") + F.coalesce(F.sum("words").over(run.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        # A bucket of one hash goes in whole if its middle is below the rest; of the others, the
-        # first that doesn't end below the rest holds the threshold.
-        crossing = summed.withColumn("ahead", ahead).withColumn("one", F.col("first") == F.col("last"))
+        # A bucket of one row goes in if its middle is below the rest; of the others, the first
+        # that doesn't end below the rest holds the threshold.
+        crossing = summed.withColumn("ahead", ahead).withColumn("one", (F.col("n") == 1) | ((F.col("phase") == 2) & (F.col("first") == F.col("last"))))
         stop = crossing.filter(F.when(F.col("one"), F.col("ahead") + F.col("words") / 2 > F.col("rest")).otherwise(F.col("ahead") + F.col("words") > F.col("rest")))
-        cut = stop.groupBy(F.col("source").alias("s")).agg(F.min(F.struct("bucket", "ahead", "one", "first", "low")).alias("c"))
-        at = F.when(F.col("c.one"), F.col("c.first")).otherwise(F.col("c.low") + F.col("c.bucket") * F.lit(width))
-        cut = cut.select("s", at.alias("new_low"), F.col("c.ahead").alias("new_below"), (~F.col("c.one")).alias("new_open"))
-        old = F.col("open") if done else F.lit(True)
-        end = F.lit(1 << BITS) if not done else F.col("low") + F.lit(width << STEP)
+        cut = stop.groupBy(F.col("source").alias("s")).agg(F.min(F.struct("bucket", "ahead", "one", "first", "last")).alias("c"))
         state = (
-            state.withColumn("was", old)
-            .join(cut, F.col("source").eqNullSafe(F.col("s")), "left")
+            state.join(cut, F.col("source").eqNullSafe(F.col("s")), "left")
+            .withColumn("none", F.col("open") & F.col("c").isNull())
+            .withColumn("same", F.col("open") & ~F.col("c.one") & (F.col("c.first") == F.col("c.last")))
+            .withColumn("deep", F.col("open") & ~F.col("c.one") & (F.col("c.first") < F.col("c.last")))
+            .withColumn("done", F.col("open") & F.col("c.one"))
             .select(
                 "source", "source_size", "target", "passes", "rest",
-                F.when(~F.col("was"), F.col("low")).when(F.col("s").isNull() & F.col("new_low").isNull(), end).otherwise(F.col("new_low")).cast("long").alias("low"),
-                F.when(F.col("was") & F.col("new_low").isNotNull(), F.col("new_below")).otherwise(F.col("below")).cast("long").alias("below"),
-                (F.col("was") & F.coalesce("new_open", F.lit(False))).alias("open"),
+                F.when(F.col("same"), F.col("phase") + 1).otherwise(F.col("phase")).alias("phase"),
+                F.when(F.col("same"), BITS).when(F.col("deep"), F.col("bits") - STEP).otherwise(F.col("bits")).alias("bits"),
+                F.when(F.col("none"), F.expr("low + shiftleft(1L, bits)")).when(F.col("same"), zero).when(F.col("done"), F.col("c.first"))
+                .when(F.col("deep"), F.expr(f"low + shiftleft(c.bucket, bits - {STEP})")).otherwise(F.col("low")).alias("low"),
+                F.when(F.col("same") | F.col("deep"), F.col("c.ahead")).otherwise(F.col("below")).cast("long").alias("below"),
+                F.when(F.col("same") & (F.col("phase") == 0), F.col("c.first")).otherwise(F.col("f1")).alias("f1"),
+                F.when(F.col("same") & (F.col("phase") == 1), F.col("c.first")).otherwise(F.col("f2")).alias("f2"),
+                F.coalesce(F.col("same") | F.col("deep"), F.lit(False)).alias("open"),
             )
         )
-    return state.select("source", "source_size", "target", "passes", F.col("low").alias("threshold"))
+    at = [F.when(F.col("phase") == n, F.col("low")) for n in range(3)]
+    t1, t2, t3 = F.coalesce(at[0], "f1"), F.when(F.col("phase") > 0, F.coalesce(at[1], "f2")).otherwise(zero), F.coalesce(at[2], zero)
+    return state.select("source", "source_size", "target", "passes", t1.alias("t1"), t2.alias("t2"), t3.alias("t3"))
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0, doc_id: str = "doc_id", text: str = "text", source: str = "source", keep: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, source, size, hash, source_size, target, times (0, 1, ...; how often it is taken),
-    and the columns `keep`; a row for each row."""
+    """doc_id, source, size, source_size, target, times (0, 1, ...; how often it is taken), and the
+    columns `keep`; a row for each row. Rows are numbered once, in the written table."""
     body = F.coalesce(F.col(text), F.lit(""))
-    key = hash60(F.coalesce(F.col(doc_id).cast("string"), F.concat(F.lit("?"), body)))
-    own = [F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), F.regexp_count(body, F.lit(WORD)).cast("long").alias("size"), key.alias("hash")]
-    thin = saved(docs.select(*own), "sizes")
+    k1 = hash60(F.coalesce(F.col(doc_id).cast("string"), F.concat(F.lit("?"), body)))
+    own = [F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), F.regexp_count(body, F.lit(WORD)).cast("long").alias("size")]
+    keys = [k1.alias("k1"), F.shiftrightunsigned(F.xxhash64(body), 64 - BITS).alias("k2"), F.monotonically_increasing_id().alias("k3")]
+    rows = saved(docs.select(*own, *keys, *keep), "sizes")
+    thin = rows.select("source", "size", "k1", "k2", "k3")
     sums = saved(thin.groupBy("source").agg(F.sum("size").alias("source_size")), "sources")
     cuts = thresholds(thin, targets(sums, weights, share, most)).withColumnRenamed("source", "s")
-    out = (docs.select(*own, *keep) if keep else thin).join(cuts, F.col("source").eqNullSafe(F.col("s")))
-    return out.select("doc_id", "source", "size", "hash", "source_size", "target", (F.col("passes") + F.when(F.col("hash") < F.col("threshold"), 1).otherwise(0)).alias("times"), *keep)
+    out = rows.join(broadcast_if_small(cuts), F.col("source").eqNullSafe(F.col("s")))
+    c = F.col
+    before = (c("k1") < c("t1")) | ((c("k1") == c("t1")) & ((c("k2") < c("t2")) | ((c("k2") == c("t2")) & (c("k3") < c("t3")))))
+    return out.select("doc_id", "source", "size", "source_size", "target", (c("passes") + F.when(before, 1).otherwise(0)).alias("times"), *keep)
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
