@@ -18,7 +18,7 @@ leave shards empty. Only the named columns are read.
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import load, saved
@@ -123,9 +123,9 @@ def numbered(keys: DataFrame, bounds: list[tuple[int, int, int]]) -> DataFrame:
     dealt = keys.withColumn("shard", shard_of(bounds)).repartitionByRange(n, *KEYS).sortWithinPartitions(*KEYS)
     placed = saved(dealt.withColumn("at", F.monotonically_increasing_id()), "placed")
     part = F.shiftright("at", 33)
-    counts = placed.groupBy("shard", part.alias("part")).agg(F.count("*").alias("n"), F.min("at").alias("first"))
-    ahead = counts.alias("a").join(counts.alias("b"), (F.col("a.shard") == F.col("b.shard")) & (F.col("b.part") < F.col("a.part")), "left")
-    base = ahead.groupBy(F.col("a.shard").alias("in_shard"), F.col("a.part").alias("in_part"), F.col("a.first").alias("first")).agg(F.coalesce(F.sum("b.n"), F.lit(0)).alias("before"))
+    counts = placed.groupBy(F.col("shard").alias("in_shard"), part.alias("in_part")).agg(F.count("*").alias("n"), F.min("at").alias("first"))
+    earlier = Window.partitionBy("in_shard").orderBy("in_part").rowsBetween(Window.unboundedPreceding, -1)
+    base = counts.select("in_shard", "in_part", "first", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
     # At most tasks + shards rows of 32 bytes: the number of tasks is a setting, not the data's.
     out = placed.withColumn("part", part).join(F.broadcast(base), (F.col("shard") == F.col("in_shard")) & (F.col("part") == F.col("in_part")))
     return out.withColumn("slot", F.col("before") + F.col("at") - F.col("first")).drop("in_shard", "in_part", "first", "before", "at", "part")
