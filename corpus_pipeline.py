@@ -43,8 +43,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every row with its shard of 16, of near equal bytes, and its place there."""
-    rows = with_keys(docs, keep=COLUMNS[1:])
-    bounds = splitters(saved(rows.drop(*COLUMNS[1:]), "keys"), SHARDS)
+    rows = saved(with_keys(docs, keep=COLUMNS[1:]), "keys")  # rows are numbered once
+    bounds = splitters(rows.drop(*COLUMNS[1:]), SHARDS)
     return numbered(rows, bounds).select(*COLUMNS, "size", "text_crc32", "shard", F.col("slot").cast("long").alias("slot"))
 
 
