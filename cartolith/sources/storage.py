@@ -7,10 +7,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def work_folder(spark: SparkSession) -> str:
-    """A new folder name under spark.checkpoint.dir, which all executors share; a temporary one
-    only where a bare local session has no such setting."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="work-")
-    return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
+    """A new folder under spark.checkpoint.dir, which all executors share; deleted when the driver
+    ends. Only a local session may do without the setting: it gets a temporary folder."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        root = tempfile.mkdtemp(prefix="work-")
+    folder = f"{root.rstrip('/')}/{uuid.uuid4().hex}"
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(place)
+    files.deleteOnExit(place)
+    return folder
 
 
 def durable(df: DataFrame) -> DataFrame:
