@@ -75,3 +75,20 @@ def greedy_overlap(left: DataFrame, right: DataFrame, key: str, least: float) ->
 def harmonic(hits: Column, n_true: Column, n_found: Column) -> Column:
     """F1 from counts; 0 where nothing is true or found."""
     return F.when(n_true + n_found > 0, 2 * hits / (n_true + n_found)).otherwise(F.lit(0.0))
+
+
+def structure_match(true: DataFrame, found: DataFrame, cells: DataFrame) -> DataFrame:
+    """(table_id, correct, n_true, n_found) for each true table: relations between neighbouring
+    cells, and how many of the found ones are true ones, carried over by cells(table_id, cell,
+    found_cell). All relations of cells without a counterpart count as missed."""
+    key = ["table_id", "a_cell", "b_cell", "direction"]
+    mine, theirs = (adjacent(t).select(*key).distinct() for t in (true, found))
+    to = lambda end: cells.select("table_id", F.col("cell").alias(f"{end}_cell"), F.col("found_cell").alias(f"__{end}"))
+    carried = mine.join(to("a"), ["table_id", "a_cell"]).join(to("b"), ["table_id", "b_cell"]).select("table_id", F.col("__a").alias("a_cell"), F.col("__b").alias("b_cell"), "direction")
+    parts = [true.select("table_id").distinct()]
+    for rows, name in ((theirs.join(carried, key, "left_semi"), "correct"), (mine, "n_true"), (theirs, "n_found")):
+        parts.append(rows.groupBy("table_id").agg(F.count("*").alias(name)))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.join(p, "table_id", "left")
+    return out.na.fill(0)

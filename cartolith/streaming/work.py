@@ -68,3 +68,12 @@ def split_by_deliveries(messages: DataFrame, most: int = DELIVERIES) -> tuple[Da
 def dispatched(results: DataFrame) -> DataFrame:
     """Results with the name of the file that they go to; empty ones are dropped."""
     return results.filter(F.col("output") != "{}").withColumn("file", F.concat_ws("_", F.col("image_id").cast("string"), F.concat(F.col("output_type"), F.when(F.col("output_type") == "projected", ".tif").otherwise(".json"))))
+
+
+def request_metrics(requests: DataFrame, limits: tuple[int, ...]) -> DataFrame:
+    """Counters by pipeline of requests(pipeline, failed, seconds), and a cumulative histogram of
+    the good ones' seconds. Works on a stream as on a table."""
+    good = ~F.col("failed")
+    steps = [F.count_if(good & (F.col("seconds") <= n)).alias(f"le_{n}") for n in limits]
+    total = F.coalesce(F.sum(F.when(good, F.col("seconds"))), F.lit(0)).cast("long").alias("total")
+    return requests.groupBy("pipeline").agg(F.count("*").alias("requests"), F.count_if("failed").alias("errors"), *steps, F.count_if(good).alias("le_inf"), total)
