@@ -1,15 +1,20 @@
 """Language-model scores from a log-frequency Bloom filter.
 
-Counts of words and word pairs in the training texts are quantised on a logarithmic scale: level q
-stands for counts from BASE^(q-1) up to BASE^q. An n-gram of level q is put into the filter q times,
-as (n-gram, 1) ... (n-gram, q); to look a count up, membership of (n-gram, 1), (n-gram, 2), ... is
-probed until the first miss. The filter is cut into slices by hash, each built by one task, of 8
-bits an entry at any size. The words' filter is broadcast whole; that of the pairs as many slices at
-a time as MAX_BITS holds, and each such pass over the texts sums the pairs that belong to its slices.
-
-A word's probability after the one before it is interpolated with the word's own:
-SHARE * c(vw) / c(v) + (1 - SHARE) * p(w), p(w) = (c(w) + 1) / (N + V + 1), all counts from the
-filter; after an unknown word it is p(w).
+Counts of words, word pairs and triples in the training texts are quantised on a logarithmic scale:
+level q stands for counts from BASE^(q-1) up to BASE^q. An n-gram of level q is put into the filter
+q times, as (n-gram, 1) ... (n-gram, q); to look a count up, membership of (n-gram, 1), (n-gram, 2),
+... is probed until the first miss. The filter is cut into slices by hash, each built by one task,
+of 8 bits an entry at any size; the number of slices grows with the texts.
+
+Up to MAX_BITS the filter is broadcast whole. A larger one stays where it is, in its slices, and the
+n-grams come to it: workers send each slice the distinct n-grams of a chunk of texts, the task that
+holds the slice sends their levels back. Both ways give the same counts, and so the same scores.
+
+A word's probability is interpolated: with a history h that occurs c(h) times and gives the word
+c(hw) times, it is s * (c(hw) - d) / c(h) + (1 - s) * (that of the shorter history), where
+s = SHARE * c(h) / (c(h) + 1) and d = DISCOUNT, by order; without a history it is
+p(w) = (c(w) + 1) / (N + V + 1). All counts are the filter's. Shares and discounts were chosen by
+the likelihood of held-out texts. An n-gram that occurs once says little, one that comes again much.
 
 The base score needs exact counts of words. Those of the most frequent words, at most COMMON, are
 broadcast; each document's other words are joined to the whole table of counts.
@@ -25,6 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,15 +38,17 @@ from .common import id_remainder, load, saved, words
 
 U = np.uint64
 BASE, PROBES, BITS_AN_ENTRY = 1.5, 4, 8
-#: What a pass takes of the pairs' filter: 128 MB. A corpus that needs more is gone through again.
-MAX_BITS = 1 << 30
+#: A filter up to this size is broadcast: 192 MB.
+MAX_BITS = 3 << 29
+#: Bytes of texts whose n-grams make about one slice, where that gives more slices than 4 a task.
+SLICE_BYTES = 64 << 20
 #: Words whose exact counts are broadcast: 16 bytes each.
 COMMON = 1 << 20
-#: What a pair's own frequency weighs beside the word's.
-SHARE = 0.3
-#: Tokens that a worker counts or scores at once.
-CHUNK = 1 << 19
-CACHE = 300_000
+#: Bits of an n-gram's hash, by order, what a longer history weighs and what is taken off its counts.
+WIDTH, SHARE, DISCOUNT = (64, 48, 48), (0.0, 0.4, 0.8), (0.0, 0.5, 0.8)
+#: Tokens that a worker scores at once, and counts at once.
+CHUNK, COUNTED = 1 << 17, 1 << 21
+CACHE = 200_000
 START, END = U(0x5851F42D4C957F2D), U(0x14057B7EF767814F)
 
 
@@ -68,30 +76,48 @@ class Tokens:
         out[-1] = END
         return out
 
-    def chunks(self, batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    def chunks(self, batch: pa.RecordBatch, most: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         """(first row, row after the last, tokens, number of tokens of each row)."""
         first, held, size = 0, [], 0
         texts = (t for at in range(0, batch.num_rows, 128) for t in batch.slice(at, 128)["text"].to_pylist())
         for n, t in enumerate(texts):
             held.append(self.of(t))
             size += len(held[-1])
-            if size >= CHUNK:
+            if size >= most:
                 yield first, n + 1, np.concatenate(held), np.array([len(h) for h in held])
                 first, held, size = n + 1, [], 0
         if held:
             yield first, batch.num_rows, np.concatenate(held), np.array([len(h) for h in held])
 
 
-def pairs(tokens: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The hash of each token and the one before it, START before a text's first."""
+def grams(tokens: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
+    """The hashes of each token, of the token with the one before it and with the two before it;
+    START stands before a text's first token."""
+    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
     before = np.empty_like(tokens)
     before[1:] = tokens[:-1]
-    before[np.concatenate([[0], np.cumsum(sizes)[:-1]])] = START
-    return mixed(before * U(3) + tokens)
+    before[starts] = START
+    pair = mixed(before * U(3) + tokens)
+    earlier = np.empty_like(tokens)
+    earlier[1:] = pair[:-1]
+    earlier[starts] = START
+    return [tokens, pair >> U(16), mixed(earlier * U(5) + tokens) >> U(16)]
+
+
+def slice_of(h: np.ndarray, slices: int, order: int) -> np.ndarray:
+    return ((h >> U(WIDTH[order - 1] - 32)) * U(slices) >> U(32)).astype(np.int64)
 
 
-def slice_of(h: np.ndarray, slices: int) -> np.ndarray:
-    return ((h >> U(32)) * U(slices) >> U(32)).astype(np.int64)
+def packed(h: np.ndarray, order: int) -> bytes:
+    """Hashes in as many bytes as they have."""
+    return h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, : WIDTH[order - 1] // 8].tobytes()
+
+
+def unpacked(data: bytes, order: int) -> np.ndarray:
+    n = WIDTH[order - 1] // 8
+    out = np.zeros((len(data) // n, 8), np.uint8)
+    out[:, :n] = np.frombuffer(data, np.uint8).reshape(-1, n)
+    return out.view("<u8").ravel().astype(np.uint64)
 
 
 def level(counts: np.ndarray) -> np.ndarray:
@@ -109,43 +135,31 @@ def places(h: np.ndarray, j: int, bits: np.ndarray | int) -> Iterator[np.ndarray
         yield mixed(h + U((j * PROBES + i) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)) % bits
 
 
-def passes(bits: list[int]) -> list[tuple[int, int]]:
-    """(first slice, slice after the last) of each pass: together at most MAX_BITS, or one slice."""
-    out, first, held = [], 0, 0
-    for s, n in enumerate(bits):
-        if held and held + n > MAX_BITS:
-            out.append((first, s))
-            first, held = s, 0
-        held += n
-    return [*out, (first, len(bits))]
-
-
-def put_together(model: DataFrame, order: int, slices: int, first: int, after: int) -> tuple:
-    """What Filter takes, from an order's slices from `first` up to before `after`: plain values
-    that can be broadcast. The slices come to the driver one by one, into one buffer."""
-    own = model.filter((F.col("order") == order) & (F.col("slice") >= first) & (F.col("slice") < after))
-    sizes = {r["slice"]: r["bits"] for r in own.select("slice", "bits").collect()}
+def put_together(model: DataFrame, order: int, slices: int) -> tuple:
+    """What Filter takes, from an order's slices: plain values that can be broadcast. The slices
+    come to the driver one by one, into one buffer."""
+    own = model.filter(F.col("order") == order)
+    sizes = {r["slice"]: (r["bits"], r["top"]) for r in own.select("slice", "bits", "top").collect()}
     bits, at, place = np.ones(slices, np.uint64), np.zeros(slices, np.uint64), 1
-    for s, n in sorted(sizes.items()):
+    for s, (n, _) in sorted(sizes.items()):
         bits[s], at[s] = n, 8 * place
         place += n // 8
     data = np.zeros(place, np.uint8)  # a slice without entries reads the zero bit at its beginning
     for r in own.select("slice", "data").toLocalIterator():
         start = int(at[r["slice"]]) // 8
         data[start : start + len(r["data"])] = np.frombuffer(r["data"], np.uint8)
-    return slices, bits, at, data
+    return order, slices, bits, at, data, max([0, *(top for _, top in sizes.values())])
 
 
 class Filter:
-    """One order's filter."""
+    """One order's filter, or a slice of it."""
 
-    def __init__(self, slices: int, bits: np.ndarray, at: np.ndarray, data: np.ndarray, top: int):
-        self.slices, self.bits, self.at, self.data, self.top = slices, bits, at, data, top
-        self.counts = np.array([0.0] + [typical(q) for q in range(1, top + 1)])
+    def __init__(self, order: int, slices: int, bits: np.ndarray, at: np.ndarray, data: np.ndarray, top: int):
+        self.order, self.slices, self.bits, self.at, self.data, self.top = order, slices, bits, at, data, top
 
-    def count(self, h: np.ndarray) -> np.ndarray:
-        """Estimated counts, by probing level after level until a miss."""
-        q, alive, s = np.zeros(len(h), np.int64), np.arange(len(h)), slice_of(h, self.slices)
+    def levels(self, h: np.ndarray) -> np.ndarray:
+        """Levels, by probing one after another until a miss; 0 for what isn't there."""
+        q, alive, s = np.zeros(len(h), np.uint8), np.arange(len(h)), slice_of(h, self.slices, self.order)
         bits, at = self.bits[s], self.at[s]
         for j in range(1, self.top + 1):
             for i in range(PROBES):
@@ -154,7 +168,24 @@ class Filter:
             if not len(alive):
                 break
             q[alive] = j
-        return self.counts[q]
+        return q
+
+
+#: Counts by level.
+COUNTS = np.array([0.0] + [typical(q) for q in range(1, 120)])
+
+
+def log_p(counts: list[np.ndarray], sizes: np.ndarray, n_docs: int, total: int, types: int) -> np.ndarray:
+    """log10 of each token's probability, from the counts of its n-grams of each order."""
+    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+    p = (counts[0] + 1) / (total + types + 1)
+    for k in (1, 2):
+        history = np.empty(len(p))
+        history[1:] = counts[k - 1][:-1]  # that of the n-gram that ends one token earlier
+        history[starts] = n_docs
+        share = SHARE[k] * history / (history + 1)
+        p = share * np.maximum(np.minimum(counts[k], history) - DISCOUNT[k], 0) / np.maximum(history, 1) + (1 - share) * p
+    return np.log10(np.minimum(p, 1.0))
 
 
 def counted(train: DataFrame, slices: int) -> DataFrame:
@@ -167,35 +198,38 @@ def counted(train: DataFrame, slices: int) -> DataFrame:
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, held, size = Tokens(), ([], []), 0
+        own, held, size = Tokens(), ([], [], []), 0
 
         def flush() -> Iterator[pa.RecordBatch]:
             for order, parts in enumerate(held, 1):
                 h, n = np.unique(np.concatenate(parts), return_counts=True)
-                cut = np.searchsorted(slice_of(h, slices), np.arange(slices + 1))
+                parts.clear()
+                cut = np.searchsorted(slice_of(h, slices, order), np.arange(slices + 1))
                 full = [s for s in range(slices) if cut[s] < cut[s + 1]]
                 for at in range(0, len(full), 16):
                     some = full[at : at + 16]
                     cols = [pa.array([order] * len(some), pa.int32()), pa.array(some, pa.int32())]
-                    cols += [pa.array([x[cut[s] : cut[s + 1]].astype(kind).tobytes() for s in some], pa.binary()) for x, kind in ((h, np.uint64), (n, np.uint32))]
+                    cols.append(pa.array([packed(h[cut[s] : cut[s + 1]], order) for s in some], pa.binary()))
+                    cols.append(pa.array([n[cut[s] : cut[s + 1]].astype(np.uint32).tobytes() for s in some], pa.binary()))
                     yield pa.RecordBatch.from_arrays(cols, names=["order", "slice", "hashes", "counts"])
 
         for b in batches:
-            for _, _, tokens, sizes in own.chunks(b):
-                held[0].append(tokens)
-                held[1].append(pairs(tokens, sizes))
+            for _, _, tokens, sizes in own.chunks(b, CHUNK):
+                for parts, h in zip(held, grams(tokens, sizes), strict=True):
+                    parts.append(h)
                 size += len(tokens)
-                if size >= 4 * CHUNK:
+                if size >= COUNTED:
                     yield from flush()
-                    held, size = ([], []), 0
+                    size = 0
         if size:
             yield from flush()
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held = None, []
+        fields = [("order", pa.int32()), ("slice", pa.int32()), ("types", pa.int64()), ("tokens", pa.int64()), ("entries", pa.int64()), ("top", pa.int32()), ("bits", pa.int64()), ("data", pa.binary()), ("hashes", pa.binary()), ("counts", pa.binary()), ("above", pa.list_(pa.int64()))]
 
         def built(order: int, s: int, parts: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
-            h = np.concatenate([np.frombuffer(x, np.uint64) for x, _ in parts])
+            h = np.concatenate([unpacked(x, order) for x, _ in parts])
             n = np.concatenate([np.frombuffer(x, np.uint32) for _, x in parts]).astype(np.int64)
             by = np.argsort(h, kind="stable")
             h, n = h[by], n[by]
@@ -209,9 +243,9 @@ def counted(train: DataFrame, slices: int) -> DataFrame:
                 for x in places(h[q >= j], j, U(bits)):
                     marks[x.astype(np.int64)] = True
             one = order == 1
-            above = [int((n >= 1 << i).sum()) for i in range(48)] if one else []
+            above = [int((n >= 1 << i).sum()) if one else 0 for i in range(48)]
             row = {"order": order, "slice": s, "types": len(h), "tokens": int(n.sum()), "entries": entries, "top": int(q.max()), "bits": bits, "data": np.packbits(marks, bitorder="little").tobytes(), "hashes": h.tobytes() if one else None, "counts": n.astype(np.uint64).tobytes() if one else None, "above": above}
-            return pa.RecordBatch.from_pylist([row], schema=pa.schema([("order", pa.int32()), ("slice", pa.int32()), ("types", pa.int64()), ("tokens", pa.int64()), ("entries", pa.int64()), ("top", pa.int32()), ("bits", pa.int64()), ("data", pa.binary()), ("hashes", pa.binary()), ("counts", pa.binary()), ("above", pa.list_(pa.int64()))]))
+            return pa.RecordBatch.from_pylist([row], schema=pa.schema(fields))
 
         for b in batches:
             for order, s, h, n in zip(*(b[c].to_pylist() for c in ("order", "slice", "hashes", "counts")), strict=True):
@@ -242,98 +276,143 @@ def word_counts(model: DataFrame, least: int, most: int) -> DataFrame:
     return model.filter("order = 1").select("hashes", "counts").mapInArrow(rows, "h long, c long")
 
 
+def asked_scores(numbered: DataFrame, model: DataFrame, slices: int, learnt: tuple[int, int, int]) -> DataFrame:
+    """(row, score) by a filter that stays in its slices. A chunk of texts sends each slice its
+    distinct n-grams, gets their levels back, and is scored by the task that has its numbers."""
+    n = int(numbered.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, chunk = Tokens(), TaskContext.get().partitionId() << 32
+        for b in batches:
+            for first, after, tokens, sizes in own.chunks(b, 4 * CHUNK):
+                told, asked = [sizes.astype(np.int64).tobytes()], []
+                for order, h in enumerate(grams(tokens, sizes), 1):
+                    kinds, which = np.unique(h, return_inverse=True)
+                    told.append(which.astype(np.int32).tobytes())
+                    cut = np.searchsorted(slice_of(kinds, slices, order), np.arange(slices + 1))
+                    asked += [(chunk, order, s, packed(kinds[cut[s] : cut[s + 1]], order)) for s in np.flatnonzero(cut[1:] > cut[:-1])]
+                rows = np.asarray(b["row"].slice(first, after - first)).astype(np.int64).tobytes()
+                asked += [(chunk, 0, k, part) for k, part in enumerate([rows, *told])]
+                for at in range(0, len(asked), 256):
+                    cols = zip(*asked[at : at + 256], strict=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int32(), pa.binary()), strict=True)], names=["chunk", "order", "slice", "part"])
+                chunk += 1
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A slice's filter (chunk null) comes before what is asked of it."""
+        held = None
+        for b in batches:
+            out = []
+            for chunk, order, s, part, bits, top in zip(*(b[c].to_pylist() for c in ("chunk", "order", "slice", "part", "bits", "top")), strict=True):
+                if chunk is None:
+                    held = (order, s), Filter(order, 1, np.array([bits], np.uint64), np.zeros(1, np.uint64), np.frombuffer(part, np.uint8), top)
+                    continue
+                h = unpacked(part, order)
+                known = held is not None and held[0] == (order, s)
+                out.append((chunk, order, s, (held[1].levels(h) if known else np.zeros(len(h), np.uint8)).tobytes()))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int32(), pa.int32(), pa.binary()), strict=True)], names=["chunk", "order", "slice", "part"])
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A chunk's numbers come first, then its answers by order and slice, which is the hashes' order."""
+        key, own, levels = None, [], {1: [], 2: [], 3: []}
+
+        def told() -> pa.RecordBatch:
+            rows, sizes = (np.frombuffer(x, np.int64) for x in own[:2])
+            counts = [COUNTS[np.frombuffer(b"".join(levels[k]), np.uint8)][np.frombuffer(own[k + 1], np.int32)] for k in (1, 2, 3)]
+            sums = np.add.reduceat(log_p(counts, sizes, *learnt), np.cumsum(sizes) - sizes)
+            return pa.RecordBatch.from_arrays([pa.array(rows), pa.array(sums)], names=["row", "score"])
+
+        for b in batches:
+            for chunk, order, part in zip(*(b[c].to_pylist() for c in ("chunk", "order", "part")), strict=True):
+                if chunk != key:
+                    if key is not None:
+                        yield told()
+                    key, own, levels = chunk, [], {1: [], 2: [], 3: []}
+                (own if order == 0 else levels[order]).append(part)
+        if key is not None:
+            yield told()
+
+    asked = saved(numbered.select("row", "text").mapInArrow(ask, "chunk long, order int, slice int, part binary"), "asked")
+    none = [F.lit(None).cast(t).alias(c) for c, t in (("bits", "long"), ("top", "int"))]
+    slices_ = model.select(F.lit(None).cast("long").alias("chunk"), "order", "slice", F.col("data").alias("part"), "bits", "top")
+    meet = slices_.union(asked.filter("order > 0").select("*", *none)).repartition(n, "order", "slice").sortWithinPartitions("order", "slice", F.col("chunk").asc_nulls_first())
+    answers = meet.mapInArrow(answer, "chunk long, order int, slice int, part binary")
+    home = asked.filter("order = 0").union(answers).repartition(n, "chunk").sortWithinPartitions("chunk", "order", "slice")
+    return saved(home.mapInArrow(score, "row long, score double"), "scored")
+
+
 def scores(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row; learns
     from those for which the condition `held_out` is false."""
     spark = docs.sparkSession
-    slices = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), held_out.alias("held_out"))
     train = rows.filter(~F.col("held_out"))
-    n_docs = train.count()
+    n_docs, n_bytes = train.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    slices = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(n_bytes / SLICE_BYTES))
     model = counted(train, slices)
-    told = model.select("order", "slice", "types", "tokens", "top", "bits", "above").collect()  # a row for each slice
-    tops = [max([0, *(r["top"] for r in told if r["order"] == o)]) for o in (1, 2)]
-    types, total = (sum(r[c] for r in told if r["order"] == 1) for c in ("types", "tokens"))
-    power = next(i for i in range(48) if sum(r["above"][i] for r in told if r["order"] == 1) <= COMMON)
+    above = [F.coalesce(F.sum(F.get("above", i)), F.lit(0)) for i in range(48)]
+    first = F.col("order") == 1
+    told = model.agg(*[F.coalesce(F.sum(F.when(first, F.col(c))), F.lit(0)) for c in ("types", "tokens")], F.coalesce(F.sum("bits"), F.lit(0)), *above).first()
+    types, total, bits = told[:3]
+    power = next(i for i in range(48) if told[3 + i] <= COMMON)
     common = word_counts(model, 1 << power, 1 << 62).toArrow()  # at most COMMON rows
     h, c = common["h"].to_numpy().view(np.uint64), common["c"].to_numpy()
     order = np.argsort(h)
-    held = spark.sparkContext.broadcast(((*put_together(model, 1, slices, 0, slices), tops[0]), h[order], c[order]))
-    below = math.log10(total + types + 1)
-    sizes_of = {r["slice"]: r["bits"] for r in told if r["order"] == 2}
-    cuts = passes([sizes_of.get(s, 0) for s in range(slices)])
-
+    whole = bits <= MAX_BITS
+    held = spark.sparkContext.broadcast(([put_together(model, k, slices) for k in (1, 2, 3)] if whole else None, h[order], c[order]))
+    below, learnt = math.log10(total + types + 1), (n_docs, total, types)
     numbered = rows.withColumn("row", F.monotonically_increasing_id()).select("row", "doc_id", "held_out", "text")
-    if len(cuts) > 1:
-        numbered = saved(numbered, "numbered")  # every pass must see the same numbers
+    if not whole:
+        numbered = saved(numbered, "numbered")  # both scans must see the same numbers
     kind = rows.schema["doc_id"].dataType.simpleString()
 
-    def summed(n: int) -> DataFrame:
-        """The sums of pass n; the first one also has what doesn't hang on pairs."""
-        first_slice, after_slice = cuts[n]
-        some = spark.sparkContext.broadcast((*put_together(model, 2, slices, first_slice, after_slice), tops[1]))
-
-        def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            (one, known, exact), own = held.value, Tokens()
-            one, two = Filter(*one), Filter(*some.value)
-            for b in batches:
-                for first, after, tokens, sizes in own.chunks(b):
-                    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-                    kinds, which = np.unique(tokens, return_inverse=True)
-                    # The model: counts by probes, for each distinct word and pair of the chunk once.
-                    words_c = one.count(kinds)
-                    pair, pair_of = np.unique(pairs(tokens, sizes), return_inverse=True)
-                    s = slice_of(pair, slices)
-                    mine = (s >= first_slice) & (s < after_slice)
-                    pair_c = np.zeros(len(pair))
-                    pair_c[mine] = two.count(pair[mine])
-                    pair_c = pair_c[pair_of]
-                    before = np.empty(len(tokens))
-                    before[1:] = words_c[which[:-1]]
-                    before[starts] = n_docs
-                    own_p = (words_c[which] + 1) / (total + types + 1)
-                    follows = np.minimum(pair_c, before) / np.maximum(before, 1)
-                    p = np.minimum(np.where(before > 0, SHARE * follows + (1 - SHARE) * own_p, own_p), 1.0)
-                    part = b.slice(first, after - first)
-                    score = pa.array(np.add.reduceat(np.where(mine[pair_of], np.log10(p), 0.0), starts))
-                    if n:
-                        yield pa.RecordBatch.from_arrays([part["row"], score], names=["row", "score"])
-                        continue
-                    # The base score, as far as words are common.
-                    if len(known):
-                        at = np.minimum(np.searchsorted(known, kinds), len(known) - 1)
-                        hit = known[at] == kinds
-                        c = np.where(hit, exact[at], 0)
-                    else:
-                        hit, c = np.zeros(len(kinds), bool), np.zeros(len(kinds), np.int64)
-                    base = np.where(hit, np.log10(c + 1.0) - below, 0.0)
-                    sums = [np.add.reduceat(x[which], starts) for x in (hit.astype(np.int64), base)]
-                    # Each row's other words, with their numbers.
-                    rare = np.flatnonzero(~hit[which])
-                    row = np.searchsorted(starts, rare, side="right") - 1
-                    code, n_rare = np.unique(np.stack([row.astype(np.uint64), tokens[rare]], 1), axis=0, return_counts=True) if len(rare) else (np.zeros((0, 2), np.uint64), np.zeros(0, np.int64))
-                    cut = np.searchsorted(code[:, 0], np.arange(len(sizes) + 1).astype(np.uint64)).astype(np.int32)
-                    lists = [pa.ListArray.from_arrays(pa.array(cut), pa.array(x)) for x in (code[:, 1].copy().view(np.int64), n_rare.astype(np.int32))]
-                    yield pa.RecordBatch.from_arrays([part["row"], part["doc_id"], part["held_out"], pa.array(sizes.astype(np.int64)), *map(pa.array, sums), score, *lists], names=["row", "doc_id", "held_out", "n_tokens", "known", "base", "score", "rare_h", "rare_n"])
-
-        if n:
-            out = saved(numbered.select("row", "text").mapInArrow(score, "row long, score double"), "pass")
-        else:
-            out = saved(numbered.mapInArrow(score, f"row long, doc_id {kind}, held_out boolean, n_tokens long, known long, base double, score double, rare_h array<long>, rare_n array<int>"), "partial")
-        some.destroy()
-        return out
-
-    partial = summed(0)
-    for n in range(1, len(cuts)):
-        more = summed(n).select(F.col("row").alias("at"), F.col("score").alias("more"))
-        partial = saved(partial.join(more, F.col("row") == F.col("at")).withColumn("score", F.col("score") + F.col("more")).drop("at", "more"), "partial")
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        (filters, known, exact), own = held.value, Tokens()
+        filters = [Filter(*f) for f in filters] if filters else None
+        for b in batches:
+            for first, after, tokens, sizes in own.chunks(b, CHUNK):
+                starts = np.cumsum(sizes) - sizes
+                kinds, which = np.unique(tokens, return_inverse=True)
+                score = None
+                if filters:  # counts by probes, for each distinct n-gram of the chunk once
+                    counts = [COUNTS[filters[0].levels(kinds)][which]]
+                    for f, h in zip(filters[1:], grams(tokens, sizes)[1:], strict=True):
+                        some, of = np.unique(h, return_inverse=True)
+                        counts.append(COUNTS[f.levels(some)][of])
+                    score = np.add.reduceat(log_p(counts, sizes, *learnt), starts)
+                # The base score, as far as words are common.
+                if len(known):
+                    at = np.minimum(np.searchsorted(known, kinds), len(known) - 1)
+                    hit = known[at] == kinds
+                    c = np.where(hit, exact[at], 0)
+                else:
+                    hit, c = np.zeros(len(kinds), bool), np.zeros(len(kinds), np.int64)
+                base = np.where(hit, np.log10(c + 1.0) - below, 0.0)
+                sums = [np.add.reduceat(x[which], starts) for x in (hit.astype(np.int64), base)]
+                # Each row's other words, with their numbers.
+                rare = np.flatnonzero(~hit[which])
+                row = np.searchsorted(starts, rare, side="right") - 1
+                code, n_rare = np.unique(np.stack([row.astype(np.uint64), tokens[rare]], 1), axis=0, return_counts=True) if len(rare) else (np.zeros((0, 2), np.uint64), np.zeros(0, np.int64))
+                cut = np.searchsorted(code[:, 0], np.arange(len(sizes) + 1).astype(np.uint64)).astype(np.int32)
+                lists = [pa.ListArray.from_arrays(pa.array(cut), pa.array(x)) for x in (code[:, 1].copy().view(np.int64), n_rare.astype(np.int32))]
+                part = b.slice(first, after - first)
+                own_score = pa.nulls(len(sizes), pa.float64()) if score is None else pa.array(score)
+                yield pa.RecordBatch.from_arrays([part["row"], part["doc_id"], part["held_out"], pa.array(sizes.astype(np.int64)), *map(pa.array, sums), own_score, *lists], names=["row", "doc_id", "held_out", "n_tokens", "known", "base", "score", "rare_h", "rare_n"])
+
+    partial = saved(numbered.mapInArrow(score, f"row long, doc_id {kind}, held_out boolean, n_tokens long, known long, base double, score double, rare_h array<long>, rare_n array<int>"), "partial")
+    held.unpersist()
     other = partial.select("row", F.explode(F.arrays_zip("rare_h", "rare_n")).alias("r")).select("row", F.col("r.rare_h").alias("h"), F.col("r.rare_n").alias("n"))
     found = other.join(word_counts(model, 1, 1 << power), "h", "left")
     add = found.groupBy(F.col("row").alias("at")).agg(
         F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("more_known"),
         F.sum(F.col("n") * (F.log10(F.coalesce("c", F.lit(0)) + 1.0) - F.lit(below))).alias("more_base"),
     )
-    out = partial.drop("rare_h", "rare_n").join(add, F.col("row") == F.col("at"), "left")
+    out = partial.drop("rare_h", "rare_n")
+    if not whole:
+        asked = asked_scores(numbered, model, slices, learnt).select(F.col("row").alias("of"), F.col("score").alias("told"))
+        out = out.drop("score").join(asked, F.col("row") == F.col("of")).drop("of").withColumnRenamed("told", "score")
+    out = out.join(add, F.col("row") == F.col("at"), "left")
     return out.select(
         "doc_id", "held_out", "n_tokens",
         (F.col("known") + F.coalesce("more_known", F.lit(0))).cast("long").alias("n_known"),
