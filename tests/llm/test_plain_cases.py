@@ -229,27 +229,61 @@ def test_filter_never_loses_counts():
     h = lm_score.mixed(np.arange(1, 5001, dtype=np.uint64))
     n = np.random.default_rng(5).integers(1, 2000, 5000)
     q = lm_score.level(n)
-    bits, marks = 8 * int(q.sum()), None
+    bits = 8 * int(q.sum())
     marks = np.zeros(bits, bool)
     for j in range(1, q.max() + 1):
         for x in lm_score.places(h[q >= j], j, np.uint64(bits)):
             marks[x.astype(np.int64)] = True
-    f = lm_score.Filter(1, np.array([bits], np.uint64), np.array([0], np.uint64), np.packbits(marks, bitorder="little"), int(q.max()))
-    got = f.count(h)
-    assert (got >= [lm_score.typical(k) for k in q]).all()
-    assert (f.count(lm_score.mixed(np.arange(10**6, 10**6 + 5000, dtype=np.uint64))) > 0).mean() < 0.1
-
-
-def test_filters_grow_and_are_gone_through_in_passes(spark, monkeypatch):
-    rows = [(i, t or "", s) for i, t, s in [*((n, t, "s") for n, t in enumerate(some(15, 150))), *ODD]]
-    held_out = lambda: lm_score.id_remainder("doc_id", 7) == 2
-    told = lambda out: sorted(tuple(-1 if v is None else round(v, 9) for v in r) for r in out.collect())
-    want = told(lm_score.scores(documents(spark, rows), held_out()))
-    monkeypatch.setattr(lm_score, "MAX_BITS", 8_000)  # far less than the pairs need
-    made = lm_score.counted(documents(spark, rows), 16).filter("order = 2").select("slice", "bits", "entries").collect()
-    assert all(r["bits"] >= 8 * r["entries"] for r in made)
-    assert len(lm_score.passes([r["bits"] for r in sorted(made)])) > 2
-    assert told(lm_score.scores(documents(spark, rows), held_out())) == want
+    f = lm_score.Filter(1, 1, np.array([bits], np.uint64), np.array([0], np.uint64), np.packbits(marks, bitorder="little"), int(q.max()))
+    assert (f.levels(h) >= q).all() and (f.levels(h) == q).mean() > 0.9
+    assert (f.levels(lm_score.mixed(np.arange(10**6, 10**6 + 5000, dtype=np.uint64))) > 0).mean() < 0.1
+
+
+@pytest.mark.parametrize("limit", [3 << 29, 1000])
+def test_scores_are_the_models(spark, monkeypatch, limit):
+    """By exact counts at their levels; with so many bits an entry that the filter doesn't err. What
+    is held out isn't learnt. Broadcast, and asked for slice by slice."""
+    monkeypatch.setattr(lm_score, "BITS_AN_ENTRY", 4000)
+    monkeypatch.setattr(lm_score, "MAX_BITS", limit)
+    monkeypatch.setattr(lm_score, "CHUNK", 700)
+    monkeypatch.setattr(lm_score, "COUNTED", 900)
+    rows = [(n, t, "s") for n, t in enumerate(some(4, 120))] + [r for r in ODD if r[0] != 904]
+    out = lm_score.scores(documents(spark, rows), lm_score.id_remainder("doc_id", 7) == 2).toPandas()
+    held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 7 == 2
+    texts = [(i, ["<", "<", *words(t or ""), "\n"]) for i, t, _ in rows]
+    train = [x for i, x in texts if not held(i)]
+    counts = [Counter(tuple(x[k - n : k + 1] if n < 2 or k > 2 else ["<", x[k]]) for x in train for k in range(2, len(x))) for n in range(3)]
+    # A text's first triple is its first token after START alone.
+    step = lambda n: 0.0 if not n else lm_score.typical(int(lm_score.level(np.array([n]))[0]))
+    total, types = sum(counts[0].values()), len(counts[0])
+    want = []
+    for i, x in texts:
+        score = 0.0
+        for k in range(2, len(x)):
+            gram = lambda n, k=k: tuple(x[k - n : k + 1]) if n < 2 or k > 2 else ("<", x[k])
+            p = (step(counts[0][gram(0)]) + 1) / (total + types + 1)
+            for n in (1, 2):
+                history = len(train) if k == 2 else step(counts[n - 1][gram(n - 1, k - 1)])
+                share = lm_score.SHARE[n] * history / (history + 1)
+                p = share * max(min(step(counts[n][gram(n)]), history) - lm_score.DISCOUNT[n], 0) / max(history, 1) + (1 - share) * p
+            score += math.log10(min(p, 1))
+        want.append((-1 if i is None else i, round(score, 6)))
+    assert sorted((-1 if math.isnan(r.doc_id) else int(r.doc_id), round(r.score, 6)) for r in out.itertuples()) == sorted(want)
+
+
+def test_model_is_a_distribution():
+    """After any history the probabilities of all words add up to at most 1."""
+    r = np.random.default_rng(22)
+    for _ in range(200):
+        n = r.integers(1, 9, 6)  # what follows the longer history, and at least as often the shorter one
+        m = n + r.integers(0, 9, 6)
+        ones = m + r.integers(0, 9, 6)
+        total = 0
+        for w in range(6):
+            # Two tokens before it, by an n-gram count each.
+            counts = [np.array([5.0, m.sum(), ones[w]]), np.array([3.0, n.sum(), m[w]]), np.array([1.0, 1.0, n[w]])]
+            total += 10 ** lm_score.log_p(counts, np.array([3]), 4, int(ones.sum()), 6)[2]
+        assert total <= 1 + 1e-9
 
 
 # ---- classifier ---------------------------------------------------------------------------------
