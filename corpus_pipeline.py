@@ -43,8 +43,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every row with its shard of 16, of near equal bytes, and its place there."""
-    rows = saved(with_keys(docs, keep=COLUMNS[1:]), "keys")  # rows are numbered once
-    bounds = splitters(rows.drop(*COLUMNS[1:]), SHARDS)
+    rows = with_keys(docs, keep=COLUMNS[1:])
+    # The splitters need no texts. Their row numbers, which only part rows that are equal in text
+    # and id, are those of the same written table; were they others, only the balance would suffer.
+    bounds = splitters(saved(rows.drop(*COLUMNS[1:]), "keys"), SHARDS)
     return numbered(rows, bounds).select(*COLUMNS, "size", "text_crc32", "shard", F.col("slot").cast("long").alias("slot"))
 
 
