@@ -4,8 +4,10 @@ For byte-pair encoding, the encoding of a prefix is that of a shorter prefix and
 the last token of prefix i is the only token t that ends there and stands validly after the last
 token of prefix i - len(t). A neighbouring pair is valid if merging wouldn't have joined across the
 border before both tokens were whole. So one pass over a word gives the token count of all its
-prefixes; with the counts of the words before it, any prefix of a text. Truncation ("the longest
-prefix of at most n tokens") and budget questions are looked up, nothing is encoded again.
+prefixes; with the counts of the words before it, any prefix of a text. Stored are the counts at the
+end of every word (`word_prefixes`), or at every character (`token_prefixes`). Totals, truncation
+("the longest prefix of at most n tokens") and budget questions are looked up there, nothing is
+encoded again.
 
 Words that end at the cut carry the vocabulary's word-end mark, so each prefix has two counts: open
 (the word goes on) and closed (it ends there); a text's prefix counts its last word as closed.
@@ -26,7 +28,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import load
+from .common import load, saved
 
 #: Unicode white space. (str.split() also takes the control characters 1C-1F for it.)
 BLANK = "\t-\r \x85\xa0  -     　"
@@ -142,15 +144,21 @@ class PrefixCounter:
             total += n
         return total
 
+    def word_ends(self, text: str) -> np.ndarray:
+        """The tokens of the text up to the end of each word between white space, and of each
+        special token."""
+        if "<|" not in text and all(s.startswith("<|") for s in self.special):
+            found = _split(text)
+            return np.cumsum(np.fromiter(map(self.chunks.__getitem__, found), np.int32, len(found)), dtype=np.int32)
+        own = []
+        for n, part in enumerate(self.any_special.split(text)):
+            own += [1] * (n > 0) + [self.chunks[c] for c in _split(part)]
+        return np.cumsum(own, dtype=np.int32)
+
     def count(self, text: str) -> int:
         """The tokens of a whole text."""
-        total, parts = 0, [text]
-        if "<|" in text or not all(s.startswith("<|") for s in self.special):
-            parts = self.any_special.split(text)
-            total = len(parts) - 1
-        for part in parts:
-            total += sum(map(self.chunks.__getitem__, _split(part)))
-        return total
+        ends = self.word_ends(text)
+        return int(ends[-1]) if len(ends) else 0
 
     def prefix_counts(self, text: str) -> np.ndarray:
         """The tokens of normal(text)[:k] for k = 0 ... its length.
@@ -205,19 +213,34 @@ def _byte_alphabet() -> list[str]:
     return [chr(b) if b in own else chr(next(rest)) for b in range(256)]
 
 
-def token_counts(docs: DataFrame, vocabulary: str, limit: int = 2048, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_bytes, n_tokens, over_limit. No exchange: each row by itself, in Arrow batches."""
+def word_prefixes(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, n_bytes, counts: the written table of token counts at the end of every word, a row for
+    each row. No exchange: each row by itself, in Arrow batches."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = PrefixCounter(vocabulary)
         for b in batches:
-            n = [counter.count(t) for t in b["text"].to_pylist()]
-            yield pa.RecordBatch.from_arrays([b["doc_id"], b["n_bytes"], pa.array(n, pa.int64()), pa.array([x > limit for x in n], pa.bool_())], names=["doc_id", "n_bytes", "n_tokens", "over_limit"])
+            for k in range(0, b.num_rows, 1024):
+                part = b.slice(k, 1024)
+                ends = [counter.word_ends(t) for t in part["text"].to_pylist()]
+                at = np.cumsum([0, *map(len, ends)]).astype(np.int32)
+                counts = pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(ends) if ends else np.zeros(0, np.int32)))
+                yield pa.RecordBatch.from_arrays([part["doc_id"], part["n_bytes"], counts], names=["doc_id", "n_bytes", "counts"])
 
     body = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(F.col(doc_id).alias("doc_id"), body.alias("text"), F.octet_length(body).cast("long").alias("n_bytes"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(work, f"doc_id {kind}, n_bytes long, n_tokens long, over_limit boolean")
+    return saved(rows.mapInArrow(work, f"doc_id {kind}, n_bytes long, counts array<int>"), "prefixes")
+
+
+def token_counts(docs: DataFrame, vocabulary: str, limit: int = 2048, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, n_bytes, n_tokens, over_limit, fit_words (how many of its first words have at most
+    `limit` tokens), all looked up in the stored counts."""
+    counts = F.col("counts")
+    n = F.coalesce(F.get(counts, F.size(counts) - 1), F.lit(0)).cast("long")
+    # Counts never fall, so a text that fits needs no search.
+    fit = F.when(n <= limit, F.size(counts)).otherwise(F.size(F.filter(counts, lambda c: c <= limit)))
+    return word_prefixes(docs, vocabulary, doc_id, text).select("doc_id", "n_bytes", n.alias("n_tokens"), (n > limit).alias("over_limit"), fit.alias("fit_words"))
 
 
 def token_prefixes(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
