@@ -1,7 +1,7 @@
 """Quality classification by naive Bayes support vectors.
 
-A text is the set of its n-grams: byte trigrams and 4-grams, and runs of two and of three equal
-words, hashed into 2^18 features. Each present feature is scaled by its class log-count ratio, the
+A text is the set of its n-grams: byte trigrams and 4-grams, hashed into 2^18 features, and the
+trigrams of a second sequence that says of each word whether it repeats the one before it. Each present feature is scaled by its class log-count ratio, the
 vector brought to length 1, and a linear hinge-loss model fitted by dual coordinate descent. The
 score is the logistic function of twice the margin.
 
@@ -9,8 +9,8 @@ The model is fitted on a bounded sample of labelled rows: at most `sample` of ea
 the smallest id hashes. Every text is scored whole, by itself, without an exchange.
 
 Defined cases: null and empty texts have no n-grams and get the score of the bias; labels that are
-null don't count, ids with several labels take the smallest; repeated rows and null ids are scored
-like any row (null ids are not held out); with labels of one class only, or none, all scores are
+null don't count, ids with several labels take the smallest; of rows that share a labelled id one
+is learnt from; repeated rows and null ids are scored like any row (null ids are not held out); with labels of one class only, or none, all scores are
 0.5; an empty table gives an empty result. Only the named columns are read.
 """
 
@@ -25,9 +25,8 @@ from pyspark.sql import functions as F
 from .common import id_remainder, load
 
 BITS = 18
-#: Features of repeated words, beside the hashed ones.
-PAIR, TRIPLE = 1 << BITS, (1 << BITS) + 1
-SIZE = (1 << BITS) + 2
+#: Hashed features and the 8 trigrams of repeats.
+SIZE = (1 << BITS) + 8
 
 
 class Features:
@@ -45,11 +44,9 @@ class Features:
                 y = x[:-1] * np.uint32(0x27D4EB2F) + b[3:] * np.uint32(0x165667B1)
                 self.seen[(y ^ (y >> np.uint32(13))) * np.uint32(0x297A2D39) >> np.uint32(32 - BITS)] = True
         words = text.split()
-        same = list(map(eq, words, words[1:]))
-        if True in same:
-            self.seen[PAIR] = True
-            if any(map(lambda p, q: p and q, same, same[1:])):
-                self.seen[TRIPLE] = True
+        if len(words) > 3:
+            same = np.fromiter(map(eq, words, words[1:]), np.int64, len(words) - 1)
+            self.seen[(1 << BITS) + (same[:-2] << 2 | same[1:-1] << 1 | same[2:])] = True
         out = np.flatnonzero(self.seen).astype(np.int32)
         self.seen[out] = False
         return out
@@ -96,7 +93,9 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, label: str = "quality
             yield pa.RecordBatch.from_arrays([b["y"], pa.array([find(t).tobytes() for t in b["text"].to_pylist()], pa.binary())], names=["y", "features"])
 
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).join(chosen, F.col("doc_id") == F.col("sample_id"))
-    got = rows.select(F.col("y").cast("int").alias("y"), "text").mapInArrow(features, "y int, features binary").collect()
+    # Of rows that share an id, the text of the smallest hash stands for all.
+    one = rows.groupBy("doc_id").agg(F.min("y").cast("int").alias("y"), F.min_by("text", F.xxhash64("text")).alias("text"))
+    got = one.select("y", "text").mapInArrow(features, "y int, features binary").collect()
     got = sorted((r["y"], bytes(r["features"])) for r in got)
     x, y = [np.frombuffer(f, np.int32) for _, f in got], np.array([1.0 if v else -1.0 for v, _ in got])
     if len(set(y)) < 2:
