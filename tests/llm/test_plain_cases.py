@@ -150,6 +150,9 @@ TEXTS = ["", " ", "Hello World", "don't they're I'LL we'd 's '''s", "héllo ÉÀ
 def test_counts_are_the_librarys(counter, library):
     for t in TEXTS + some(1, 50):
         assert counter.count(t) == len(library.encode(t, add_special_tokens=False).ids), t
+    for t in TEXTS[:4] + some(1, 20):
+        found = t.split()
+        assert counter.word_ends(t).tolist() == [len(library.encode(" ".join(found[: k + 1]), add_special_tokens=False).ids) for k in range(len(found))]
 
 
 def test_every_prefix(counter, library):
@@ -168,8 +171,8 @@ def test_token_tables(spark, counter):
     path = public_tokenizers.path("word_bpe_49k.json")
     docs = documents(spark, [*ODD, (1, "Hello, wörld", "s")])
     got = {r["doc_id"]: tuple(r)[1:] for r in token_counts.token_counts(docs, path).collect()}
-    assert got[1] == (13, counter.count("Hello, wörld"), False)
-    assert got[900] == got[901] == (0, 0, False) and got[904] == (60_000, 30_000, True)
+    assert got[1] == (13, counter.count("Hello, wörld"), False, 2)
+    assert got[900] == got[901] == (0, 0, False, 0) and got[904] == (60_000, 30_000, True, 2048)
     assert token_counts.token_counts(docs, path).count() == len(ODD) + 1
     over = [{r["doc_id"]: r["over_limit"] for r in token_counts.token_counts(docs, path, limit=n).collect()}[904] for n in (29_999, 30_000)]
     assert over == [True, False]
@@ -299,11 +302,54 @@ def test_quality_on_held_out(spark):
     held = out[out.held_out & (out.doc_id < 1400)]
     assert ((held.doc_id < 1000) == (held.predicted == 1)).mean() > 0.98
     assert out.score.between(0, 1).all() and ((out.score >= 0.5) == (out.predicted == 1)).all()
+    # Each score by itself, from the model's weights.
+    weights, square, bias = quality.fit(docs, labels, lm_score.id_remainder("doc_id", 3) != 1)
+    find, texts = quality.Features(), {i: t for i, t, _ in good + bad + ODD}
+    for r in out[out.doc_id.notna()].itertuples():
+        f = find(texts[int(r.doc_id)] or "")
+        margin = weights[f].sum() / max(math.sqrt(square[f].sum()), 1e-12) + bias
+        assert r.score == pytest.approx(1 / (1 + math.exp(-2 * margin)), abs=1e-9)
+    # A label that isn't learnt from makes no difference, nor do rows that share an id.
+    other = labels.withColumn("quality", F.when(lm_score.id_remainder("doc_id", 3) == 1, 1 - F.col("quality")).otherwise(F.col("quality")))
+    again = quality.quality(docs.unionByName(docs.limit(50)), other).dropDuplicates(["doc_id"]).toPandas()
+    assert dict(zip(out.doc_id, out.score, strict=True))[5] == dict(zip(again.doc_id, again.score, strict=True))[5]
     nothing = quality.quality(docs, labels.limit(0)).toPandas()
     assert (nothing.score == 0.5).all()
     assert quality.quality(documents(spark, []), labels).count() == 0
 
 
+def test_features_are_the_ngrams():
+    """Equal sets of n-grams have equal features, and a repeated word shows."""
+    find = quality.Features()
+    assert set(find("abcd")) < set(find("abcde")) and len(find("ab")) == 0
+    high = lambda t: sorted(f - (1 << quality.BITS) for f in find(t) if f >= 1 << quality.BITS)
+    assert high("a b c d") == [0] and high("a b b c") == [2] and high("a a a a") == [7] and high("a b c") == []
+
+
+def test_dual_descent_reaches_the_optimum():
+    """Against a plain subgradient descent on the same objective."""
+    r = np.random.default_rng(23)
+    rows = [np.unique(r.integers(0, 12, 6)).astype(np.int32) for _ in range(40)]
+    values = [np.ones(len(x)) / math.sqrt(len(x)) for x in rows]
+    y = np.where([0 in x or 3 in x for x in rows], 1.0, -1.0)
+
+    def loss(w, b):
+        w = w[:12]
+        return 0.5 * (w @ w + b * b) + 10 * sum(max(0, 1 - t * (w[x] @ v + b)) for x, v, t in zip(rows, values, y, strict=True))
+
+    w, b = quality.dual_descent(rows, values, y, rounds=400)
+    best, u, c = math.inf, np.zeros(12), 0.0
+    for k in range(1, 4001):
+        g, gb = u.copy(), c
+        for x, v, t in zip(rows, values, y, strict=True):
+            if t * (u[x] @ v + c) < 1:
+                g[x] -= 10 * t * v
+                gb -= 10 * t
+        u, c = u - g / k, c - gb / k
+        best = min(best, loss(u, c))
+    assert loss(w, b) <= best * 1.01
+
+
 # ---- near copies --------------------------------------------------------------------------------
 
 
