@@ -2,6 +2,8 @@
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -45,9 +47,31 @@ def saved(df: DataFrame, name: str = "table") -> DataFrame:
     folder = shared_dir(spark)
     df.write.parquet(f"{folder}/{name}")
     passing(spark, folder)
+    for names in _NOTED:
+        names.append(folder)
     return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
 
 
+_NOTED: list[list[str]] = []
+
+
+@contextmanager
+def noting(names: list[str]) -> Iterator[None]:
+    """Adds the folders of the tables that are saved meanwhile to `names`."""
+    _NOTED.append(names)
+    try:
+        yield
+    finally:
+        _NOTED.pop()
+
+
+def deleted(spark: SparkSession, names: list[str]) -> None:
+    """Deletes such folders, and empties the list."""
+    while names:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(names.pop())
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def forget(df: DataFrame) -> None:
     """Deletes the files of a saved table that nothing reads any more."""
     spark = df.sparkSession
