@@ -1,9 +1,16 @@
-"""A training corpus from raw documents, in five stages, each a table that the next one reads."""
+"""A training corpus from raw documents, in five stages, each a table that the next one reads.
+
+When a stage begins, the result of the one before it has been written, so the tables that that one
+left behind are deleted: of a stage's working tables, only the last stage's are there at the end.
+"""
+
+from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartolith.llm.common import load, saved
+from cartolith.llm.common import deleted, load, noting, saved
 from cartolith.llm.decontaminate import decontaminated
 from cartolith.llm.mixing import mix
 from cartolith.llm.near_dedup import near_duplicates
@@ -13,12 +20,28 @@ from cartolith.llm.sharding import numbered, splitters, with_keys
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 SHARDS = 16
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+#: Folders of the working tables of the stage that was called last.
+_LEFT: list[str] = []
+
+
+def tidy(stage: Stage) -> Stage:
+    @wraps(stage)
+    def begin(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        deleted(spark, _LEFT)
+        with noting(_LEFT):
+            return stage(spark, docs, sf_dir)
+
+    return begin
+
 
+@tidy
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that the quality classifier doesn't reject, each by its own text."""
     return quality(docs, load(spark, sf_dir, "labels"), keep=COLUMNS[1:]).filter("predicted <> 0").select(*COLUMNS)
 
 
+@tidy
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near copies, that of the smallest id: 5-word shingles, similarity
     0.8 or more. Rows go by a number of their own, as ids may be null or repeated."""
@@ -29,11 +52,13 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return rows.join(kept, F.col("__row") == F.col("__kept"), "left_semi").select(*COLUMNS)
 
 
+@tidy
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that overlap no benchmark item."""
     return decontaminated(docs, load(spark, sf_dir, "benchmark")).select(*COLUMNS)
 
 
+@tidy
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them: weights 5, 2, 1 by source, 150 % of all words,
     nothing more than twice."""
@@ -41,6 +66,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return taken.withColumn("__n", F.explode(F.sequence(F.lit(1), F.col("times")))).select(*COLUMNS)
 
 
+@tidy
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every row with its shard of 16, of near equal bytes, and its place there."""
     rows = with_keys(docs, keep=COLUMNS[1:])
