@@ -136,8 +136,9 @@ def nearest(rows: DataFrame, wanted: Column, k: int = 10, vec_id: str = "vec_id"
     q_blocks = max(1, math.ceil(n_asked * longest / QUERY_NUMBERS))
     c_blocks = max(1, math.ceil(n / CANDIDATES), min(math.ceil(tasks / q_blocks), n // CANDIDATE_TILE))
     mine = F.xxhash64("row")
-    asked = flat.filter("asked").select(F.pmod(mine, F.lit(q_blocks)).alias("q_block"), F.explode(F.sequence(F.lit(0), F.lit(c_blocks - 1))).cast("long").alias("c_block"), F.lit(0).alias("side"), "row", "id", "vector")
-    others = flat.select(F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))).cast("long").alias("q_block"), F.pmod(mine, F.lit(c_blocks)).alias("c_block"), F.lit(1).alias("side"), "row", "id", "vector")
+    numbers = lambda k: F.sequence(F.lit(0).cast("long"), F.lit(k - 1).cast("long"))
+    asked = flat.filter("asked").select(F.pmod(mine, F.lit(q_blocks)).alias("q_block"), F.explode(numbers(c_blocks)).alias("c_block"), F.lit(0).alias("side"), "row", "id", "vector")
+    others = flat.select(F.explode(numbers(q_blocks)).alias("q_block"), F.pmod(mine, F.lit(c_blocks)).alias("c_block"), F.lit(1).alias("side"), "row", "id", "vector")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A tile's queries come first, then its candidates."""
