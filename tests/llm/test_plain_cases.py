@@ -649,7 +649,7 @@ def test_neighbours(spark, monkeypatch):
 
 def test_tile_bounds_hold():
     r = np.random.default_rng(14)
-    q, c = (neighbours.Block(np.arange(50), r.normal(size=(50, 33)) * 10.0 ** r.integers(-6, 6, (50, 1))) for _ in range(2))
+    q, c = (neighbours.Block(np.arange(50), np.arange(50), r.normal(size=(50, 33)) * 10.0 ** r.integers(-6, 6, (50, 1))) for _ in range(2))
     low, high = neighbours.tile_bounds(q, c)
     true = np.sqrt(((q.vectors[:, None] - c.vectors[None]) ** 2).sum(2))
     assert (low <= true).all() and (true <= high).all()
