@@ -78,3 +78,41 @@ def to_conic(lat: Column, lon: Column, lat1: float, lat2: float, lat0: float, lo
     tc = F.tan(F.lit(math.pi / 4) - F.radians(lat) / 2) / F.pow((1 - e * s) / (1 + e * s), F.lit(e / 2))
     rho, theta = A * f * F.pow(tc, F.lit(n)), n * F.radians(lon - lon0)
     return F.struct((east0 + rho * F.sin(theta)).alias("easting"), (north0 + rho0 - rho * F.cos(theta)).alias("northing"))
+
+
+def destination_sql(rows: str, bearing: float, km: float, rounds: int = 4) -> str:
+    """SQL for destination() over rows with id, lat, lon: id, lat, lon, lat2, lon2."""
+    sin_b, cos_b, k = math.sin(math.radians(bearing)), math.cos(math.radians(bearing)), (A * A - B * B) / (B * B)
+    sql = f"SELECT id, lat, lon, atan({1 - FLAT!r}::DOUBLE * tan(radians(lat))) AS u FROM {rows}"
+    sql = f"SELECT *, cos(u) * {sin_b!r}::DOUBLE AS sa, (1 - cos(u) * cos(u) * {sin_b * sin_b!r}::DOUBLE) * {k!r}::DOUBLE AS usq FROM ({sql})"
+    sql = f"SELECT *, 1 + usq / 16384 * (4096 + usq * (-768 + usq * (320 - 175 * usq))) AS big_a, usq / 1024 * (256 + usq * (-128 + usq * (74 - 47 * usq))) AS big_b, atan2(tan(u), {cos_b!r}::DOUBLE) AS s1 FROM ({sql})"
+    sql = f"SELECT *, {km * 1000!r}::DOUBLE / ({B!r}::DOUBLE * big_a) AS s0, {km * 1000!r}::DOUBLE / ({B!r}::DOUBLE * big_a) AS s FROM ({sql})"
+    for _ in range(rounds):
+        mid = "cos(2 * s1 + s)"
+        inner = f"cos(s) * (2 * {mid} * {mid} - 1) - big_b / 6 * {mid} * (4 * sin(s) * sin(s) - 3) * (4 * {mid} * {mid} - 3)"
+        sql = f"SELECT * EXCLUDE (s), s0 + big_b * sin(s) * ({mid} + big_b / 4 * ({inner})) AS s FROM ({sql})"
+    flat = f"(sin(u) * sin(s) - cos(u) * cos(s) * {cos_b!r}::DOUBLE)"
+    lat2 = f"degrees(atan2(sin(u) * cos(s) + cos(u) * sin(s) * {cos_b!r}::DOUBLE, {1 - FLAT!r}::DOUBLE * sqrt(sa * sa + {flat} * {flat})))"
+    lam = f"atan2(sin(s) * {sin_b!r}::DOUBLE, cos(u) * cos(s) - sin(u) * sin(s) * {cos_b!r}::DOUBLE)"
+    c = f"({FLAT / 16!r}::DOUBLE * (1 - sa * sa) * (4 + {FLAT!r}::DOUBLE * (4 - 3 * (1 - sa * sa))))"
+    mid = "cos(2 * s1 + s)"
+    dl = f"{lam} - (1 - {c}) * {FLAT!r}::DOUBLE * sa * (s + {c} * sin(s) * ({mid} + {c} * cos(s) * (2 * {mid} * {mid} - 1)))"
+    return f"SELECT id, lat, lon, {lat2} AS lat2, lon + degrees({dl}) AS lon2 FROM ({sql})"
+
+
+def span_sql(rows: str, km: float) -> str:
+    """SQL for the degrees that `km` cover to the east and to the north of rows: id, lat, lon, slon, slat."""
+    return f"SELECT e.id, e.lat, e.lon, abs(e.lon2 - e.lon) AS slon, abs(n.lat2 - n.lat) AS slat FROM ({destination_sql(rows, 90, km)}) e JOIN ({destination_sql(rows, 0, km)}) n ON e.id = n.id"
+
+
+def conic_sql(lat1: float, lat2: float, lat0: float, lon0: float, east0: float, north0: float) -> tuple[str, str]:
+    """SQL of to_conic()'s easting and northing, of columns lat and lon."""
+    e = math.sqrt(FLAT * (2 - FLAT))
+    m = lambda p: math.cos(p) / math.sqrt(1 - (e * math.sin(p)) ** 2)
+    t = lambda p: math.tan(math.pi / 4 - p / 2) / ((1 - e * math.sin(p)) / (1 + e * math.sin(p))) ** (e / 2)
+    p1, p2, p0 = map(math.radians, (lat1, lat2, lat0))
+    n = (math.log(m(p1)) - math.log(m(p2))) / (math.log(t(p1)) - math.log(t(p2)))
+    f = m(p1) / (n * t(p1) ** n)
+    at = f"(tan(pi() / 4 - radians(lat) / 2) / pow((1 - {e!r}::DOUBLE * sin(radians(lat))) / (1 + {e!r}::DOUBLE * sin(radians(lat))), {e / 2!r}::DOUBLE))"
+    rho, theta = f"{A * f!r}::DOUBLE * pow({at}, {n!r}::DOUBLE)", f"{n!r}::DOUBLE * radians(lon - ({lon0!r}::DOUBLE))"
+    return f"{east0!r}::DOUBLE + {rho} * sin({theta})", f"{north0 + A * f * t(p0) ** n!r}::DOUBLE - {rho} * cos({theta})"

@@ -100,25 +100,55 @@ def residual_threshold(coords: DataFrame, value: str = "degree") -> DataFrame:
     return per.select("raster_id", "axis", "n", (base * scale).alias("threshold"))
 
 
+#: Keypoints of a map and axis up to which all their pairs are tried as lines, and lines tried beyond.
+ALL_PAIRS, TRIALS = 64, 2000
+
+
+def _median(sorted_values: Column, n: Column) -> Column:
+    at = F.floor((n - 1) / 2).cast("int")
+    return (F.get(sorted_values, at) + F.get(sorted_values, n - 1 - at)) / 2
+
+
 def inliers(coords: DataFrame, slope_sign: int = 0) -> DataFrame:
     """coords with `inlier`: of the lines through two keypoints of a map and axis that rise with
     the given sign (0: any), the one with most keypoints within the residual threshold decides; of
-    equal ones, that of the smallest summed residual, then of the first pair. Without a line all stay."""
-    own = coords.select("raster_id", "axis", "seq", "px", "degree")
-    a, b = own.toDF("raster_id", "axis", "i", "xi", "yi"), own.toDF("raster_id", "axis", "j", "xj", "yj")
-    lines = a.join(b, ["raster_id", "axis"]).filter((F.col("i") < F.col("j")) & (F.col("xi") != F.col("xj")))
-    slope = (F.col("yj") - F.col("yi")) / (F.col("xj") - F.col("xi"))
-    lines = lines.withColumn("slope", slope).withColumn("start", F.col("yi") - slope * F.col("xi"))
-    if slope_sign:
-        lines = lines.filter(F.signum("slope") == slope_sign)
-    off = F.abs(F.col("degree") - (F.col("slope") * F.col("px") + F.col("start")))
-    tested = lines.join(own, ["raster_id", "axis"]).join(residual_threshold(coords).drop("n"), ["raster_id", "axis"])
-    fit = F.round(off, 9) <= F.round("threshold", 9)
-    votes = tested.groupBy("raster_id", "axis", "i", "j", "slope", "start").agg(F.count_if(fit).alias("votes"), F.round(F.sum(F.when(fit, off)), 6).alias("rest"))
-    best = votes.groupBy("raster_id", "axis").agg(F.max_by(F.struct("slope", "start"), F.struct("votes", -F.col("rest"), -F.col("i"), -F.col("j"))).alias("line"))
-    out = coords.join(best, ["raster_id", "axis"], "left").join(residual_threshold(coords).drop("n"), ["raster_id", "axis"])
+    equal ones, that of the smallest summed residual, then of the first pair. Without a line all stay.
+
+    A map's keypoints meet in one row. Up to ALL_PAIRS of them all pairs are tried; of more, TRIALS
+    pairs drawn by hash, so the work stays linear in them (the bounded trials of a consensus fit).
+    """
+    keys = ["raster_id", "axis"]
+    every = coords.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("seq", *[c for c in coords.columns if c not in ("seq", *keys)]))).alias("pts"))
+    every = every.withColumn("n", F.size("pts")).withColumn("mid", _median(F.array_sort(F.transform("pts", lambda p: p["degree"])), F.col("n")))
+    every = every.withColumn("off", F.array_sort(F.transform("pts", lambda p: F.abs(p["degree"] - F.col("mid")))))
+    mean = F.aggregate("off", F.lit(0.0), lambda t, v: t + v) / F.col("n")
+    mad = _median(F.col("off"), F.col("n"))
+    scale = F.when(F.col("n") > 4, F.greatest(4 / F.col("n"), F.lit(0.5))).otherwise(F.lit(1.0))
+    every = every.withColumn("threshold", F.round(F.when(mad > 0, mad).otherwise(mean) * scale, 9))
+    last = F.col("n") - 1
+    pairs = F.flatten(F.transform(F.sequence(F.lit(0), last - 1), lambda i: F.transform(F.sequence(i + 1, last), lambda j: F.struct(i.alias("i"), j.alias("j")))))
+    x = lambda t, salt: F.pmod(F.xxhash64(F.lit(salt), t), F.col("n")).cast("int")
+    drawn = F.filter(F.transform(F.sequence(F.lit(1), F.lit(TRIALS)), lambda t: F.struct(F.least(x(t, 1), x(t, 2)).alias("i"), F.greatest(x(t, 1), x(t, 2)).alias("j"))), lambda p: p["i"] < p["j"])
+    none = F.array().cast("array<struct<i:int,j:int>>")
+    every = every.withColumn("pairs", F.when(F.col("n") < 2, none).when(F.col("n") <= ALL_PAIRS, pairs).otherwise(F.array_distinct(drawn)))
+
+    def line(p: Column) -> Column:
+        a, b = F.get("pts", p["i"]), F.get("pts", p["j"])
+        slope = F.when(a["px"] != b["px"], (b["degree"] - a["degree"]) / (b["px"] - a["px"]))
+        return F.struct(slope.alias("slope"), (a["degree"] - slope * a["px"]).alias("start"), a["seq"].alias("i"), b["seq"].alias("j"))
+
+    fine = lambda v: v["slope"].isNotNull() & ((F.signum(v["slope"]) == slope_sign) if slope_sign else F.lit(True))
+    every = every.withColumn("lines", F.filter(F.transform("pairs", line), fine)).drop("pairs", "off", "mid")
+
+    def voted(v: Column) -> Column:
+        off = F.transform("pts", lambda p: F.abs(p["degree"] - (v["slope"] * p["px"] + v["start"])))
+        hits = F.filter(off, lambda o: F.round(o, 9) <= F.col("threshold"))
+        return F.struct(F.size(hits).alias("votes"), (-F.round(F.aggregate(hits, F.lit(0.0), lambda t, o: t + o), 6)).alias("rest"), (-v["i"]).alias("i"), (-v["j"]).alias("j"), v["slope"].alias("slope"), v["start"].alias("start"))
+
+    best = every.withColumn("line", F.array_max(F.transform("lines", voted)))
+    rows = best.select(*keys, "threshold", "line", F.explode("pts").alias("p")).select(*keys, "threshold", "line", "p.*")
     off = F.abs(F.col("degree") - (F.col("line.slope") * F.col("px") + F.col("line.start")))
-    return out.withColumn("inlier", F.coalesce(F.round(off, 9) <= F.round("threshold", 9), F.lit(True))).drop("line", "threshold")
+    return rows.withColumn("inlier", F.coalesce(F.round(off, 9) <= F.col("threshold"), F.lit(True))).select(*coords.columns, "inlier")
 
 
 def confidence_cut(coords: DataFrame, existing: DataFrame, most: int = 4) -> DataFrame:

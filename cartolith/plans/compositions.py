@@ -10,7 +10,7 @@ from ..operators import points as P
 from ..operators import scoring as S
 from ..sources.derived import derived
 from .catalog import query
-from .coordinates import COORDS, POINTS
+from .coordinates import COORDS, POINTS, fit_sql
 
 CHECKS = "SELECT c_custkey AS doc_id FROM customer"
 
@@ -107,7 +107,7 @@ def drive_links(spark, sf_dir):
     return rows.select("id", T.drive_file(F.col("url")).alias("url"))
 
 
-@query("a28_control_residuals")
+@query("a28_control_residuals", f"SELECT p.raster_id, coalesce(round(sqrt(avg((z - (a + b * x + c * y)) * (z - (a + b * x + c * y)))) + 1e-7, 4), -1) AS rmse FROM ({POINTS}) p JOIN ({fit_sql('z')}) f ON p.raster_id = f.raster_id GROUP BY p.raster_id")
 def control_residuals(spark, sf_dir):
     """The root mean square residual of each map's fit through its control points."""
     points = derived(spark, sf_dir, POINTS)

@@ -251,6 +251,17 @@ def default_hemispheres(spark, sf_dir):
     return K.default_hemispheres(derived(spark, sf_dir, POINTS))
 
 
+def fit_sql(z: str) -> str:
+    """SQL of the least squares fit of column z: raster_id, a, b, c."""
+    d = {"x": "(x - mx)", "y": "(y - my)", "z": f"({z} - mz)"}
+    sums = ", ".join(f"sum({d[p]} * {d[q]}) AS {p}{q}" for p, q in ("xx", "yy", "xy", "xz", "yz"))
+    mean = f"SELECT raster_id, avg(x) AS mx, avg(y) AS my, avg({z}) AS mz FROM ({POINTS}) GROUP BY raster_id"
+    all_sums = f"SELECT raster_id, any_value(mx) AS mx, any_value(my) AS my, any_value(mz) AS mz, {sums} FROM ({POINTS}) JOIN ({mean}) USING (raster_id) GROUP BY raster_id"
+    det = "xx * yy - xy * xy"
+    slopes = f"SELECT *, CASE WHEN {det} > 1e-9 * xx * yy THEN (xz * yy - yz * xy) / ({det}) END AS b, CASE WHEN {det} > 1e-9 * xx * yy THEN (yz * xx - xz * xy) / ({det}) END AS c FROM ({all_sums})"
+    return f"SELECT raster_id, mz - b * mx - c * my AS a, b, c FROM ({slopes})"
+
+
 FIT = f"""WITH p AS ({POINTS}), m AS (SELECT raster_id, avg(x) AS mx, avg(y) AS my, avg(z) AS mz FROM p GROUP BY raster_id),
 s AS (SELECT raster_id, any_value(mx) AS mx, any_value(my) AS my, any_value(mz) AS mz, sum((x - mx) * (x - mx)) AS xx, sum((y - my) * (y - my)) AS yy, sum((x - mx) * (y - my)) AS xy, sum((x - mx) * (z - mz)) AS xz, sum((y - my) * (z - mz)) AS yz FROM p JOIN m USING (raster_id) GROUP BY raster_id),
 f AS (SELECT raster_id, mx, my, mz, CASE WHEN xx * yy - xy * xy > 1e-9 * xx * yy THEN (xz * yy - yz * xy) / (xx * yy - xy * xy) END AS b, CASE WHEN xx * yy - xy * xy > 1e-9 * xx * yy THEN (yz * xx - xz * xy) / (xx * yy - xy * xy) END AS c FROM s)"""

@@ -8,6 +8,7 @@ from ..operators import control as C
 from ..operators import plugins as U
 from ..sources.derived import derived
 from .catalog import query
+from .coordinates import POINTS, fit_sql
 
 BLOCKS = "SELECT doc_id, CAST(doc_id % 7 AS INT) AS idx, text, n_chars FROM documents"
 ROWS = "SELECT l_orderkey AS doc_id, l_linenumber AS idx, min(l_partkey) % 90 AS degree, min(l_suppkey) AS y, 12 AS font FROM lineitem GROUP BY l_orderkey, l_linenumber"
@@ -149,15 +150,14 @@ def colour_spread(spark, sf_dir):
     return rows.groupBy("image").agg(e.alias("e")).select("image", F.when(F.col("e") < 20, "mono").when(F.col("e") < 60, "low").otherwise("high").alias("level"))
 
 
-@query("a14_affine_fit")
+@query("a14_affine_fit", f"SELECT o.raster_id, {', '.join(f'round(o.{c} + 1e-7, 3) AS {c}' for c in 'abc')}, {', '.join(f'round(t.{c} + 1e-7, 3) AS {d}' for c, d in zip('abc', 'def', strict=True))} FROM ({fit_sql('lon')}) o JOIN ({fit_sql('lat')}) t ON o.raster_id = t.raster_id")
 def affine_fit(spark, sf_dir):
     """Both outputs of an affine map from its control points."""
     from ..operators import keypoints as K
-    from .coordinates import POINTS
 
     rows = derived(spark, sf_dir, POINTS)
     lon, lat = (K.polynomial_fit(rows.select("raster_id", "x", "y", F.col(c).alias("z"))) for c in ("lon", "lat"))
-    return lon.toDF("raster_id", "a", "b", "c").join(lat.toDF("raster_id", "d", "e", "f"), "raster_id").select("raster_id", *[F.round(c, 3).alias(c) for c in "abcdef"])
+    return lon.toDF("raster_id", "a", "b", "c").join(lat.toDF("raster_id", "d", "e", "f"), "raster_id").select("raster_id", *[F.round(F.col(c) + 1e-7, 3).alias(c) for c in "abcdef"])
 
 
 @query("m19_shifted_queries", "SELECT c_custkey AS id, CAST(k AS INT) AS k, c_custkey % 90 + CASE WHEN k = 1 THEN 1 ELSE 0 END AS x, c_custkey % 70 + CASE WHEN k = 2 THEN 1 ELSE 0 END AS y FROM customer, (SELECT unnest([0, 1, 2]) AS k)")

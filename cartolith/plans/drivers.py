@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..functions import geo
+from ..functions import geodesy as Y
 from ..functions import geometry as G
 from ..operators import extractors as X
 from ..operators import forms as R
@@ -164,6 +165,16 @@ def parsing_fences(spark, sf_dir):
     return X.parsing_fences(requests(spark, sf_dir), derived(spark, sf_dir, FENCES))
 
 
+RANGES = "SELECT c_custkey AS id, CAST(c_custkey % 120 - 60 AS DOUBLE) AS lat, CAST(c_custkey % 300 - 150 AS DOUBLE) AS lon FROM customer"
+
+
+@query("m10_widened_ranges", f"SELECT id AS raster_id, round(lon - slon, 6) AS lon_min, round(lon + 3 + slon, 6) AS lon_max, round(lat - slat, 6) AS lat_min, round(lat + 2 + slat, 6) AS lat_max FROM ({Y.span_sql(f'({RANGES})', 350.0)})")
+def widened_ranges(spark, sf_dir):
+    """Ranges of degrees with half of 700 km on each side."""
+    rows = derived(spark, sf_dir, RANGES).select(F.col("id").alias("raster_id"), F.col("lon").alias("lon_min"), (F.col("lon") + 3).alias("lon_max"), F.col("lat").alias("lat_min"), (F.col("lat") + 2).alias("lat_max"))
+    return X.widened(rows).select("raster_id", *[F.round(b, 6).alias(b) for b in BOUNDS])
+
+
 @query("m14_datum_shift", "SELECT c_custkey AS id, CASE WHEN c_custkey % 3 = 0 AND c_custkey % 2 = 0 THEN CAST(c_custkey % 90 AS DOUBLE) + 0.5 ELSE CAST(c_custkey % 90 AS DOUBLE) END AS lon FROM customer")
 def datum_shift(spark, sf_dir):
     """Only points that came from outside, in another datum, are shifted; the shift is a plug-in."""

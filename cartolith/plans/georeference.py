@@ -127,28 +127,32 @@ def ring_filter(spark, sf_dir):
 CENTRES = "SELECT c_custkey AS id, CAST(c_custkey % 120 - 60 AS DOUBLE) AS lat, CAST(c_custkey % 300 - 150 AS DOUBLE) AS lon FROM customer"
 
 
-@query("m5_degree_span")
+@query("m5_degree_span", f"SELECT id, round(slon, 6) AS lon, round(slat, 6) AS lat FROM ({Y.span_sql(f'({CENTRES})', 350.0)})")
 def degree_span(spark, sf_dir):
     return derived(spark, sf_dir, CENTRES).select("id", Y.degree_span(F.col("lat"), F.col("lon"), 700.0).alias("s")).select("id", F.round("s.lon", 6).alias("lon"), F.round("s.lat", 6).alias("lat"))
 
 
-@query("m11_degrees_per_km")
+@query("m11_degrees_per_km", f"SELECT id, round(slon, 9) AS lon, round(slat, 9) AS lat FROM ({Y.span_sql(f'({CENTRES})', 1.0)})")
 def degrees_per_km(spark, sf_dir):
     return derived(spark, sf_dir, CENTRES).select("id", Y.degrees_per_km(F.col("lat"), F.col("lon")).alias("s")).select("id", F.round("s.lon", 9).alias("lon"), F.round("s.lat", 9).alias("lat"))
 
 
-@query("m6_clue_point_fence")
+@query("m6_clue_point_fence", f"SELECT id, round(lon - slon, 6) AS lon_min, round(lon + slon, 6) AS lon_max, round(lat - slat, 6) AS lat_min, round(lat + slat, 6) AS lat_max FROM ({Y.span_sql(f'({CENTRES})', 250.0)})")
 def clue_point_fence(spark, sf_dir):
     """A fence around a point: the degree span of 500 km, both ways."""
     rows = derived(spark, sf_dir, CENTRES).withColumn("s", Y.degree_span(F.col("lat"), F.col("lon"), 500.0))
     return rows.select("id", *[F.round(F.col(c) + k * F.col("s")[c], 6).alias(f"{c}_{n}") for c in ("lon", "lat") for k, n in ((-1, "min"), (1, "max"))])
 
 
-@query("m13_state_plane")
+ZONE = (34.033, 35.467, 33.5, -118.0, 2_000_000.0, 500_000.0)
+NEAR = "SELECT c_custkey AS id, CAST(c_custkey % 30 AS DOUBLE) / 10 + 33 AS lat, CAST(c_custkey % 50 AS DOUBLE) / 10 - 120 AS lon FROM customer"
+
+
+@query("m13_state_plane", "SELECT id, round({}, 3) AS easting, round({}, 3) AS northing FROM ({})".format(*Y.conic_sql(*ZONE), NEAR))
 def state_plane(spark, sf_dir):
     """Points near a conic zone (its parallels 34.0 and 35.5 north) in its metres."""
-    rows = derived(spark, sf_dir, "SELECT c_custkey AS id, CAST(c_custkey % 30 AS DOUBLE) / 10 + 33 AS lat, CAST(c_custkey % 50 AS DOUBLE) / 10 - 120 AS lon FROM customer")
-    out = Y.to_conic(F.col("lat"), F.col("lon"), 34.033, 35.467, 33.5, -118.0, 2_000_000.0, 500_000.0)
+    rows = derived(spark, sf_dir, NEAR)
+    out = Y.to_conic(F.col("lat"), F.col("lon"), *ZONE)
     return rows.select("id", out.alias("p")).select("id", F.round("p.easting", 3).alias("easting"), F.round("p.northing", 3).alias("northing"))
 
 
