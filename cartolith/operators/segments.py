@@ -9,8 +9,8 @@ from ..functions import geometry as G
 def deduplicated(ocr: DataFrame, key: str = "doc_id", text: str = "text", order: str = "idx") -> DataFrame:
     """One row a text: the place of its first occurrence, the values of its last."""
     rest = [c for c in ocr.columns if c not in (key, text, order)]
-    out = ocr.groupBy(key, text).agg(F.min(order).alias(order), F.max_by(F.struct(*rest, F.col(order).alias("last_" + order)), order).alias("__last"))
-    return out.select(key, text, order, "__last.*")
+    # An aggregate for each column, so that those which nobody reads cost nothing.
+    return ocr.groupBy(key, text).agg(F.min(order).alias(order), *[F.max_by(c, order).alias(c) for c in rest], F.max(order).alias("last_" + order))
 
 
 def text_filter(ocr: DataFrame, segments: DataFrame, classes: list[str], threshold: int = 0, include: bool = False) -> DataFrame:
@@ -21,15 +21,19 @@ def text_filter(ocr: DataFrame, segments: DataFrame, classes: list[str], thresho
     listed classes are tested, but every present class counts as one; without regions nothing
     stays. The join is by document and, beyond that, on the boxes: no pair leaves its document.
     """
-    labels = segments.select("doc_id", "class_label").distinct()
+    labels = segments.groupBy("doc_id").agg(F.count_distinct("class_label").alias("__labels"))
     tested = segments.filter(F.col("class_label").isin(classes)).select("doc_id", "class_label", F.col("box").alias("seg_box"))
     inside, meets = G.inside(F.col("box"), F.col("seg_box")), G.overlap(F.col("box"), F.col("seg_box"))
-    hits = ocr.join(tested, "doc_id").filter(meets if include else inside).groupBy("doc_id", "idx", "class_label").agg(F.count_if(inside).alias("n"))
-    words = ocr.join(tested, "doc_id").filter(inside).groupBy("doc_id", "class_label").agg(F.count("*").alias("words"))
-    each = ocr.select("doc_id", "idx").join(labels, "doc_id").join(hits, ["doc_id", "idx", "class_label"], "left").join(words, ["doc_id", "class_label"], "left")
-    hit, few = F.col("n").isNotNull(), F.coalesce(F.col("words") < threshold, F.lit(False))
-    kept = each.groupBy("doc_id", "idx").agg(F.bool_or(hit if include else ~hit | few).alias("keep")).filter("keep").drop("keep")
-    return deduplicated(ocr.join(kept, ["doc_id", "idx"]))
+    met = ocr.select("doc_id", "idx", "box").join(tested, "doc_id").filter(meets)
+    hits = met.groupBy("doc_id", "idx", "class_label").agg(F.count_if(inside).alias("n"))
+    if include:
+        kept = hits.select("doc_id", "idx").distinct()
+    else:  # a text goes if every present class holds it, and holds enough
+        words = F.sum("n").over(Window.partitionBy("doc_id", "class_label"))
+        full = hits.withColumn("__words", words).filter((F.col("n") > 0) & (F.col("__words") >= threshold))
+        gone = full.groupBy("doc_id", "idx").agg(F.count("*").alias("__in")).join(labels, "doc_id").filter("__in = __labels")
+        kept = ocr.select("doc_id", "idx").join(labels.select("doc_id"), "doc_id", "left_semi").join(gone, ["doc_id", "idx"], "left_anti")
+    return deduplicated(ocr.join(kept, ["doc_id", "idx"], "left_semi"))
 
 
 def ranked(segments: DataFrame, classes: list[str], key: str = "doc_id") -> DataFrame:
@@ -65,23 +69,22 @@ def text_by_region(ocr: DataFrame, segments: DataFrame, label: str) -> DataFrame
     return first.groupBy("doc_id", "seq").agg(F.count("*").alias("n_texts"), F.concat(F.array_join(texts, " "), F.lit(" ")).alias("text"))
 
 
-def cells(box: Column, size: int) -> Column:
-    """The grid cells that a box covers."""
-    xs = F.sequence(F.floor(box["x0"] / size).cast("int"), F.floor(box["x1"] / size).cast("int"))
-    ys = F.sequence(F.floor(box["y0"] / size).cast("int"), F.floor(box["y1"] / size).cast("int"))
-    return F.flatten(F.transform(xs, lambda x: F.transform(ys, lambda y: F.struct(x.alias("cx"), y.alias("cy")))))
+def with_cells(rows: DataFrame, box: str, size: int) -> DataFrame:
+    """A row for each grid cell (__cx, __cy) that the box covers."""
+    span = lambda a, b: F.explode(F.sequence(F.floor(F.col(box)[a] / size).cast("int"), F.floor(F.col(box)[b] / size).cast("int")))
+    return rows.withColumn("__cx", span("x0", "x1")).withColumn("__cy", span("y0", "y1"))
 
 
 def box_join(left: DataFrame, right: DataFrame, key: str, size: int = 256) -> DataFrame:
     """Pairs of rows of a document whose `box`es meet: an equi-join on grid cells, then the exact
     test; a pair is taken in the upper left cell that both cover, so that none comes twice.
     right's columns get the prefix r_."""
-    a = left.withColumn("__c", F.explode(cells(F.col("box"), size)))
-    b = right.select(*[F.col(c).alias("r_" + c) for c in right.columns]).withColumn("__c", F.explode(cells(F.col("r_box"), size)))
+    a = with_cells(left, "box", size)
+    b = with_cells(right.select(*[F.col(c).alias("r_" + c) for c in right.columns]), "r_box", size)
     x = F.floor(F.greatest(F.col("box.x0"), F.col("r_box.x0")) / size).cast("int")
     y = F.floor(F.greatest(F.col("box.y0"), F.col("r_box.y0")) / size).cast("int")
-    both = a.join(b, (a[key] == b["r_" + key]) & (a["__c"] == b["__c"])).filter((a["__c"]["cx"] == x) & (a["__c"]["cy"] == y))
-    return both.filter(G.overlap(F.col("box"), F.col("r_box"))).drop("__c")
+    both = a.join(b.withColumnsRenamed({"__cx": "__rx", "__cy": "__ry"}), (a[key] == b["r_" + key]) & (F.col("__cx") == F.col("__rx")) & (F.col("__cy") == F.col("__ry")))
+    return both.filter((F.col("__cx") == x) & (F.col("__cy") == y) & G.overlap(F.col("box"), F.col("r_box"))).drop("__cx", "__cy", "__rx", "__ry")
 
 
 def nearest_in_box(points: DataFrame, texts: DataFrame, key: str, value: str) -> DataFrame:
