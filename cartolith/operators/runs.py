@@ -15,7 +15,7 @@ def chosen(rows: DataFrame, keys: list[str], order: list, choose: Callable[[dict
     """
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = None
+        held: list[pd.DataFrame] = []  # of the last group, joined when it is whole
 
         def picked(pdf: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
             cols, keep = {c: pdf[c].to_numpy() for c in pdf.columns}, []
@@ -24,16 +24,18 @@ def chosen(rows: DataFrame, keys: list[str], order: list, choose: Callable[[dict
             return pdf.iloc[keep]
 
         for pdf in batches:
-            if held is not None:
-                pdf = pd.concat([held, pdf], ignore_index=True)
             if not len(pdf):
                 continue
+            if held and (pdf[keys].iloc[[0, -1]].to_numpy() == held[0][keys].iloc[0].to_numpy()).all():
+                held.append(pdf)  # sorted: what lies between is of the group, too
+                continue
+            pdf = pd.concat([*held, pdf], ignore_index=True)
             new = (pdf[keys] != pdf[keys].shift()).any(axis=1).to_numpy()
             starts = np.flatnonzero(new)
-            held = pdf.iloc[starts[-1] :].reset_index(drop=True)
+            held = [pdf.iloc[starts[-1] :].reset_index(drop=True)]
             if len(starts) > 1:
                 yield picked(pdf.iloc[: starts[-1]], starts[:-1])
-        if held is not None:
-            yield picked(held, np.array([0]))
+        if held:
+            yield picked(pd.concat(held, ignore_index=True), np.array([0]))
 
     return rows.repartition(*keys).sortWithinPartitions(*keys, *order).mapInPandas(work, rows.schema)
