@@ -437,29 +437,54 @@ def confirmed_pairs(pairs: DataFrame, full: DataFrame, similarity: tuple[int, in
     return dealt.mapInArrow(compare, "a long, b long").distinct()
 
 
+#: Places of the matrix that a node's sets are laid against each other by (64 MB), and sets tried at once.
+MATRIX, TRIED = 1 << 24, 128
+
+
 def forest(sets: list[np.ndarray], tried: np.ndarray, similarity: tuple[int, int]) -> list[tuple[int, int]]:
     """A spanning forest (pairs of places) of the similar pairs of nonempty sets of which at least
-    one is `tried`. Each set that is tried is laid against all others at once, those of the
-    commonest shingles first; those of its own component are no more looked at."""
+    one is `tried`. A set that is tried is laid against all others at once, those of the commonest
+    shingles first, until all are in one component: the first ones by marking their shingles, then,
+    where the shingles that two sets or more have are few, many by one matrix product."""
     up, down = similarity
     sizes = np.array([len(s) for s in sets])
     starts = np.cumsum(sizes) - sizes
     _, which = np.unique(np.concatenate(sets), return_inverse=True)
-    central = np.add.reduceat(np.bincount(which)[which], starts) / sizes
-    label, marks, out = np.arange(len(sets)), np.zeros(which.max() + 1, np.int32), []
+    held_by = np.bincount(which)
+    central = np.add.reduceat(held_by[which], starts) / sizes
+    label, out = np.arange(len(sets)), []
     rows = np.flatnonzero(tried)
-    for i in rows[np.argsort(-central[rows], kind="stable")]:
-        other = label != label[i]
-        if not other.any():
-            break
+    rows = rows[np.argsort(-central[rows], kind="stable")]
+
+    def link(i: int, common: np.ndarray) -> None:
+        alike = np.flatnonzero((label != label[i]) & (common * down >= up * (sizes[i] + sizes - common)))
+        new, first = np.unique(label[alike], return_index=True)
+        out.extend((int(i), int(alike[j])) for j in first)
+        label[np.isin(label, new)] = label[i]
+
+    shared = held_by > 1
+    width = int(shared.sum())
+    few = len(sets) * width <= min(MATRIX, 25 * len(which))
+    marks, done = np.zeros(len(held_by), np.int32), 0
+    for i in rows[: 8 if few else len(rows)]:
+        if (label == label[i]).all():
+            return out
         mine = which[starts[i] : starts[i] + sizes[i]]
         marks[mine] = 1
-        common = np.add.reduceat(marks[which], starts)
+        link(i, np.add.reduceat(marks[which], starts))
         marks[mine] = 0
-        alike = np.flatnonzero(other & (common * down >= up * (sizes[i] + sizes - common)))
-        new, first = np.unique(label[alike], return_index=True)
-        out += [(int(i), int(alike[j])) for j in first]
-        label[np.isin(label, new)] = label[i]
+        done += 1
+    if done < len(rows):
+        column, of = np.cumsum(shared) - 1, np.repeat(np.arange(len(sets)), sizes)
+        own = shared[which]
+        table = np.zeros((len(sets), width), np.float32)  # counts stay exact in it
+        table[of[own], column[which[own]]] = 1
+        for at in range(done, len(rows), TRIED):
+            if (label == label[0]).all():
+                break
+            some = rows[at : at + TRIED]
+            for i, common in zip(some, (table[some] @ table.T).astype(np.int64), strict=True):
+                link(i, common)
     return out
 
 
