@@ -38,8 +38,8 @@ from .common import id_remainder, load, saved, words
 
 U = np.uint64
 BASE, PROBES, BITS_AN_ENTRY = 1.5, 4, 8
-#: A filter up to this size is broadcast: 192 MB.
-MAX_BITS = 3 << 29
+#: A filter up to this size is broadcast: 256 MB.
+MAX_BITS = 1 << 31
 #: Bytes of texts whose n-grams make about one slice, where that gives more slices than 4 a task.
 SLICE_BYTES = 64 << 20
 #: Words whose exact counts are broadcast: 16 bytes each.
