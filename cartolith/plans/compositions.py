@@ -83,9 +83,16 @@ def image_cache(spark, sf_dir):
     return U.cached(rows, cache, "id", fetch, "id long, way string, n long")
 
 
-@query("t9_word_overlap")
+FIELDS = "SELECT p_partkey AS id, p_name || ' ' || p_type AS a, p_type || ' map ' || p_name AS b FROM part"
+WORDS_OF = "list_filter(string_split(regexp_replace(lower({}), '[^a-z0-9 ]', '', 'g'), ' '), lambda x: x <> '')"
+
+
+@query("t9_word_overlap", f"""WITH w AS (SELECT id, {WORDS_OF.format('a')} AS wa, {WORDS_OF.format('b')} AS wb FROM ({FIELDS})),
+h AS (SELECT *, CAST(len(list_intersect(wa, wb)) AS DOUBLE) AS common, list_transform(wa, lambda x: list_contains(wb, x)) AS hit FROM w),
+c AS (SELECT *, common / len(list_distinct(wa)) AS p, common / len(list_distinct(wb)) AS r, len(list_filter(range(1, len(hit) + 1), lambda i: hit[i] AND (i = 1 OR NOT hit[i - 1]))) AS chunks FROM h)
+SELECT id, CASE WHEN common > 0 THEN round(p * r / (0.9 * p + 0.1 * r) * (1 - 0.5 * pow(least(chunks / common, 1.0), 3)), 6) ELSE 0 END AS score FROM c""")
 def word_overlap(spark, sf_dir):
-    rows = derived(spark, sf_dir, "SELECT p_partkey AS id, p_name || ' ' || p_type AS a, p_type || ' map ' || p_name AS b FROM part")
+    rows = derived(spark, sf_dir, FIELDS)
     return rows.select("id", F.round(S.token_overlap(F.col("a"), F.col("b")), 6).alias("score"))
 
 
