@@ -402,3 +402,34 @@ def predictions(spark, sf_dir):
     points = derived(spark, sf_dir, "SELECT c_custkey AS id, 1 AS raster_id, c_custkey % 400 AS x, c_custkey % 30 AS y FROM customer")
     fit = spark.createDataFrame([(1, 1.5, 0.25, -0.5)], "raster_id int, a double, b double, c double")
     return K.predicted(points, fit, 90.0).select("id", "value")
+
+
+# ---- outlines ----------------------------------------------------------------------------------
+
+PAIRS = "SELECT c_custkey AS id, c_custkey % 37 - 18 AS dx, c_custkey % 23 - 11 AS dy FROM customer"
+
+
+@query("g8_merged_boxes", f"SELECT id, round(CASE WHEN abs(dx) < 10 AND abs(dy) < 6 THEN 120 - (10 - abs(dx)) * (6 - abs(dy)) ELSE 60 + abs(dx) * 6 + abs(dy) * 10 END, 6) AS area FROM ({PAIRS})")
+def merged_boxes(spark, sf_dir):
+    """Two text boxes as one polygon: their union if they overlap, else their hull."""
+    from ..operators import outlines as L
+
+    rows = derived(spark, sf_dir, PAIRS)
+    ring = lambda x, y: G.ring_of(G.box(x, y, x + 10, y + 6))
+    rows = rows.select("id", ring(F.lit(100).cast("long"), F.lit(100).cast("long")).alias("a"), ring(F.col("dx") + 100, F.col("dy") + 100).alias("b"))
+    return L.merged_pairs(rows).select("id", F.round(F.abs(G.ring_area2(F.col("ring"))) / 2, 6).alias("area"))
+
+
+ROW = "SELECT DISTINCT l_orderkey AS doc_id, l_suppkey % 40 * 20 AS x0 FROM lineitem"
+
+
+@query("g7_united_regions", f"""WITH b AS ({ROW}), n AS (SELECT *, CASE WHEN x0 - lag(x0) OVER (PARTITION BY doc_id ORDER BY x0) < 30 THEN 0 ELSE 1 END AS new FROM b), i AS (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY x0 ROWS UNBOUNDED PRECEDING) AS k FROM n)
+SELECT doc_id, count(*) AS n, round(sum(area), 6) AS area FROM (SELECT doc_id, k, (max(x0) + 30 - min(x0)) * 10 AS area FROM i GROUP BY doc_id, k) GROUP BY doc_id""")
+def united_regions(spark, sf_dir):
+    """A document's regions, those that overlap united, however they are chained."""
+    from ..operators import outlines as L
+
+    ring = G.ring_of(G.box(F.col("x0"), F.lit(0).cast("long"), F.col("x0") + 30, F.lit(10).cast("long")))
+    rows = derived(spark, sf_dir, ROW).groupBy("doc_id").agg(F.collect_list(ring).alias("rings"))
+    out = L.merged_polygons(rows).select("doc_id", (F.abs(G.ring_area2(F.col("ring"))) / 2).alias("area"))
+    return out.groupBy("doc_id").agg(F.count("*").alias("n"), F.round(F.sum("area"), 6).alias("area"))

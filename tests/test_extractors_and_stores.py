@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cartolith.operators import keypoints as K
+from cartolith.operators import outlines as O
 from cartolith.operators import raster as R
 from cartolith.operators.runs import chosen
 from cartolith.sources import files as S
@@ -72,6 +73,36 @@ def test_connected_parts():
     assert (R.labelled(np.zeros((3, 4), bool)) == 0).all()
 
 
+def test_unions_and_hulls():
+    """Areas against a count of fine pixels."""
+    r = np.random.default_rng(35)
+    x, y = np.meshgrid(np.arange(0.05, 40, 0.1), np.arange(0.05, 40, 0.1))
+
+    def covers(ring):
+        inside = np.zeros(x.shape, bool)
+        for (x0, y0), (x1, y1) in zip(ring, ring[1:] + ring[:1], strict=True):
+            if y0 != y1:
+                inside ^= ((y0 > y) != (y1 > y)) & (x < (x1 - x0) * (y - y0) / (y1 - y0) + x0)
+        return inside
+
+    for _ in range(40):
+        a, b = (O.hull([tuple(p) for p in (r.integers(0, 25, (5, 2)) + r.integers(0, 14, 2)).astype(float)]) for _ in range(2))
+        if min(abs(O.signed_area(a)), abs(O.signed_area(b))) < 5:
+            continue
+        ring, both = O.united(a, b), covers(a) & covers(b)
+        if ring is None:
+            assert both.sum() < 40
+        else:
+            assert abs(abs(O.signed_area(ring)) - (covers(a) | covers(b)).sum() / 100) < 4
+    box = lambda x, y, w=10, h=10: [(x, y), (x + w, y), (x + w, y + h), (x, y + h)]
+    assert O.united(box(0, 0), box(10, 0)) is None and O.united(box(0, 0), box(30, 0)) is None  # no area in common
+    assert sorted(O.united(box(0, 0), box(2, 2, 3, 3))) == sorted(box(0, 0))
+    assert sorted(O.united(box(0, 0), box(5, 0))) == sorted(box(0, 0, 15, 10))
+    assert sorted(O.united(box(0, 0), box(0, 0))) == sorted(box(0, 0))
+    assert len(O.united(box(0, 0), box(5, 5))) == 8 and len(O.united(box(0, 4, 10, 2), box(4, 0, 2, 10))) == 12
+    assert len(O.merged_all([box(0, 0), box(30, 0), box(8, 0, 24, 2)])) == 1
+
+
 def test_groups_longer_than_a_batch(spark):
     """Groups over several batches are chosen from as a whole."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
