@@ -56,12 +56,13 @@ def cache_complete(wanted: DataFrame, cached: DataFrame, raster: str, keys: list
     return found.join(counts, raster, "left").select(raster, (F.col("__all") & (F.coalesce("__cached", F.lit(0)) == F.col("__wanted"))).alias("complete"))
 
 
-def upserted(old: DataFrame, new: DataFrame, key: list[str], order: str) -> DataFrame:
-    """Rows by key: new ones override, the place of the first stays."""
+def upserted(old: DataFrame, new: DataFrame, key: list[str], order: str, by_order: bool = False) -> DataFrame:
+    """Rows by key: new ones override, the place of the first stays. With `by_order`, where `order`
+    runs through both tables, what comes later in it overrides, of equal places the new row."""
     both = old.withColumn("__new", F.lit(0)).unionByName(new.withColumn("__new", F.lit(1)))
     rest = [c for c in old.columns if c not in (*key, order)]
-    place = F.min(F.struct("__new", order))[order].alias(order)
-    return both.groupBy(*key).agg(place, F.max_by(F.struct(*rest), F.struct("__new", order)).alias("__r")).select(*key, order, "__r.*")
+    by = F.struct(order, "__new") if by_order else F.struct("__new", order)
+    return both.groupBy(*key).agg(F.min(by)[order].alias(order), F.max_by(F.struct(*rest), by).alias("__r")).select(*key, order, "__r.*")
 
 
 def suffixed(items: DataFrame, group: str, name: str, order: str = "seq") -> DataFrame:

@@ -39,3 +39,8 @@ def test_samples_of_every_image_size(same):
 def test_first_setting_by_wide_part_keys(same):
     """Part keys from 100 000 on outweigh a line number, as in the SQL's order."""
     same("o9_levers", lineitem="SELECT k % 9 AS l_orderkey, CAST(k % 7 + 1 AS INT) AS l_linenumber, k * 7919 % 300007 AS l_partkey, 'N' AS l_returnflag FROM range(60) t(k)")
+
+
+def test_places_upserted_by_sequence(same):
+    """Numbers above 1000 put old rows after new ones: the sequence decides."""
+    same("x1_upsert_places", supplier="SELECT k * 97 AS s_suppkey, k % 4 AS s_nationkey FROM range(60) t(k)")
