@@ -169,9 +169,10 @@ def extremes(coords: DataFrame) -> DataFrame:
 
 
 def colinear(coords: DataFrame, limit: float = 0.05) -> DataFrame:
-    """Maps whose keypoints of an axis lie on a line across it: (raster_id, axis, slope)."""
+    """Maps whose keypoints of an axis lie on a line across it: (raster_id, axis, slope). A slope of
+    just the limit is none, whatever its last digits, which depend on the rows' order."""
     per = coords.groupBy("raster_id", "axis").agg(F.regr_slope("py", "px").alias("slope"), F.count("*").alias("n"))
-    return per.filter((F.col("n") > 1) & (F.abs("slope") < limit)).select("raster_id", "axis", "slope")
+    return per.filter((F.col("n") > 1) & (F.round(F.abs("slope"), 12) < limit)).select("raster_id", "axis", "slope")
 
 
 def anchors(maps: DataFrame) -> DataFrame:

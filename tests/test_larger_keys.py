@@ -49,3 +49,20 @@ def test_places_upserted_by_sequence(same):
 def test_utm_values_of_wide_keys(same):
     """Part keys in the millions still give northings of the zone, within the fence's latitudes."""
     same("d3_utm_extractor", lineitem="SELECT k // 4 AS l_orderkey, CAST(k % 4 + 1 AS INT) AS l_linenumber, k * 9973 AS l_partkey, k * 499 AS l_suppkey FROM range(240) t(k)")
+
+
+def test_slopes_of_just_the_limit(spark):
+    """Three keypoints whose slope is exactly 0.05 in whole numbers are never colinear, in any order."""
+    from itertools import permutations
+
+    from cartolith.operators import keypoints as K
+
+    exact = [((127, 4), (77, 10), (27, 9)), ((291, 10), (191, 2), (291, 4)), ((123, 4), (63, 6), (143, 12)), ((162, 10), (242, 4), (262, 6))]
+    for p in exact:
+        up, across = (3 * sum(x * v[k] for (x, _), v in zip(p, p, strict=True)) - sum(x for x, _ in p) * sum(v[k] for v in p) for k in (1, 0))
+        assert 20 * abs(up) == across
+    groups = [[(x + s, y) for x, y in o] for p in exact for o in permutations(p) for s in range(60)]
+    groups += [[(0, 0), (1000, 49), (2000, 98)], [(0, 0), (1000, -49), (2000, -98)]]
+    rows = [(m, "lat", float(x), float(y)) for m, points in enumerate(groups) for x, y in points]
+    got = K.colinear(spark.createDataFrame(rows, "raster_id int, axis string, px double, py double").coalesce(1))
+    assert sorted(r["raster_id"] for r in got.collect()) == [len(groups) - 2, len(groups) - 1]
